@@ -28,7 +28,7 @@ from tidemark.operators.splitting import stratified_sample
 from tidemark.session import fresh_path, shared_dir, written
 
 TREE_SCHEMA = (
-    "tree int, node int, feature int, threshold double, left int, right int, value double, cover double"
+    "tree int, node int, feature int, threshold double, left int, right int, value double, cover double, gain double"
 )
 
 
@@ -99,6 +99,8 @@ def ensemble_of(model: GBTClassificationModel, features: Sequence[str]) -> Ensem
         .otherwise(0.0).alias("threshold"),
         F.col(node + "leftChild").alias("left"), F.col(node + "rightChild").alias("right"),
         F.col(node + "prediction").alias("value"), F.col(node + "rawCount").cast("double").alias("cover"),
+        F.when(F.col(node + "leftChild") >= 0, F.col(node + "gain") * F.col(node + "impurityStats")[0])
+        .otherwise(0.0).alias("gain"),
     )
     nodes = rows.toPandas().sort_values(["tree", "node"]).reset_index(drop=True)
     weights = np.asarray(model.treeWeights)
@@ -250,19 +252,10 @@ def stop_round(log: Sequence[tuple[int, float]], patience: int) -> int:
 
 
 def importance(ensemble: Ensemble, spark: SparkSession, top: int = 30) -> DataFrame:
-    """Share of each feature in the weighted reduction of the trees' squared leaf terms.
-
-    A split's gain is the drop in cover-weighted variance of the values below it.
-    """
-    nodes, arrays = ensemble.nodes, TreeArrays(ensemble.nodes)
-    gain = np.zeros(len(ensemble.features))
-    for at in np.flatnonzero(~arrays.leaf):
-        left, right = arrays.left[at], arrays.right[at]
-        n = arrays.cover[left] + arrays.cover[right]
-        spread = arrays.value[left] - arrays.value[right]
-        gain[arrays.feature[at]] += arrays.cover[left] * arrays.cover[right] / n * spread**2
-    total = gain.sum() or 1.0
-    rows = [(name, float(g / total)) for name, g in zip(ensemble.features, gain)]
+    """Share of each feature in the total gain of the splits, largest first."""
+    gains = ensemble.nodes.groupby("feature")["gain"].sum()
+    total = float(ensemble.nodes["gain"].sum()) or 1.0
+    rows = [(name, float(gains.get(i, 0.0)) / total) for i, name in enumerate(ensemble.features)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.col("importance").desc(), "feature"
     ).limit(top)
