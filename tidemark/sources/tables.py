@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import schema as S
+from tidemark.functions import scalars as X
 
 # Fixed values of the adapter: start of the time axis and positives per 1000 rows.
 EPOCH = "2024-01-01 00:00:00"
@@ -32,8 +33,12 @@ def transactions_from(events: DataFrame) -> DataFrame:
         .when(F.col("value") > 100, _RATE_LARGE)
         .otherwise(_RATE_OTHER)
     )
-    # Seconds between two zone-less timestamps: the session time zone plays no part.
-    seconds = F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ '{EPOCH}', CAST(ts AS TIMESTAMP_NTZ))")
+    # The difference of two zone-less timestamps: the session time zone plays no part.
+    seconds = F.floor(
+        F.expr(
+            f"CAST(CAST(CAST(ts AS TIMESTAMP_NTZ) - TIMESTAMP_NTZ '{EPOCH}' AS INTERVAL SECOND) AS DECIMAL(20, 6))"
+        )
+    )
     return events.select(
         event.alias(S.KEY),
         seconds.cast("long").alias(S.TIME),
@@ -55,6 +60,34 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     return transactions_from(table(spark, folder, "events"))
 
 
+# Fixed values of the explanation view: (feature, centre, scale), in feature order.
+TERMS = (("TransactionAmt", 40.0, 100.0), ("card1", 75.0, 90.0), ("hour_of_day", 12.0, 30.0), ("event_minute", 30.0, 70.0))
+
+
+def explained(frame: DataFrame) -> DataFrame:
+    """``(key, values, terms, probability)``: linear terms over a transaction view.
+
+    A term is (value - centre) / scale, so the terms and their base add up to the
+    log-odds by construction.
+    """
+    dt = F.col(S.TIME)
+    held = {
+        "TransactionAmt": F.col(S.AMOUNT),
+        "card1": F.col("card1"),
+        "hour_of_day": X.hour_of_day(dt).cast("double"),
+        "event_minute": F.floor(F.pmod(dt, F.lit(3600)) / 60).cast("double"),
+    }
+    terms = {name: (held[name] - centre) / scale for name, centre, scale in TERMS}
+    odds = F.lit(X.BASE_LOGIT)
+    for term in terms.values():
+        odds = odds + term
+    return frame.select(
+        S.KEY, F.col(S.LABEL).alias("y"),
+        F.array(*held.values()).alias("values"), F.array(*terms.values()).alias("terms"),
+        (F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))).alias("probability"),
+    )
+
+
 def identity(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").where(F.col("o_orderkey") % 4 == 0).select(
         F.col("o_orderkey").alias(S.KEY),
