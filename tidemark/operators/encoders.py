@@ -17,7 +17,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
     DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReader, MLWritable, MLWriter,
 )
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from tidemark import schema as S
 from tidemark.functions import scalars as X
@@ -162,22 +162,23 @@ class AmountFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 # ---------------------------------------------------------------------- target encoding
 
 
-def target_rates(df: DataFrame, columns: Sequence[str], label: str, smoothing: float, prior: float) -> DataFrame:
-    """``(column, category, value)``: label rate per category, pulled toward the prior.
+def category_sums(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
+    """``(column, category, hits, n)``, the missing category included.
 
-    All columns share one shuffle, and counts combine before it.
+    All columns share one pass and one shuffle, and counts combine before it.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("category")) for c in columns])
     long = df.select(F.col(label).cast("double").alias("y"), F.explode(pairs).alias("p"))
-    sums = long.where(F.col("p.category").isNotNull()).groupBy("p.column", "p.category").agg(
+    return long.groupBy(F.col("p.column").alias("column"), F.col("p.category").alias("category")).agg(
         F.sum("y").alias("hits"), F.count("y").alias("n")
     )
-    rate = (F.col("hits") + F.lit(smoothing * prior)) / (F.col("n") + F.lit(float(smoothing)))
-    return sums.select("column", "category", rate.alias("value"))
 
 
 class TargetRateEncoder(Estimator, _Stage, DefaultParamsReadable, DefaultParamsWritable):
-    """Smoothed label rate of a category; unseen and missing get the global rate."""
+    """Smoothed label rate of a category; unseen and missing get the global rate.
+
+    rate = (hits + smoothing x global) / (n + smoothing)
+    """
 
     @keyword_only
     def __init__(self, *, inputCols=list(S.EMAIL_COLUMNS), smoothing=10.0, labelCol=S.LABEL):
@@ -188,16 +189,30 @@ class TargetRateEncoder(Estimator, _Stage, DefaultParamsReadable, DefaultParamsW
     def _fit(self, df: DataFrame) -> "TargetRateEncoderModel":
         label, smoothing = self.getOrDefault("labelCol"), self.getOrDefault("smoothing")
         columns = [c for c in self.getOrDefault("inputCols") if c in df.columns]
-        prior = df.agg(F.avg(F.col(label).cast("double"))).first()[0]
         model = TargetRateEncoderModel()
         if columns:
-            model.table = written(target_rates(df, columns, label, smoothing, prior), "rates")
+            model.table = written(category_sums(df, columns, label), "rates")
+            # Any one column's categories, the missing one included, cover all rows.
+            prior = (
+                model.table.where(F.col("column") == columns[0]).agg(F.sum("hits") / F.sum("n")).first()[0]
+            )
+        else:
+            prior = df.agg(F.avg(F.col(label).cast("double"))).first()[0]
         return model._set(
-            state={"columns": columns, "all": self.getOrDefault("inputCols"), "prior": prior, "has_table": bool(columns)}
+            state={
+                "columns": columns, "all": self.getOrDefault("inputCols"), "prior": prior,
+                "smoothing": smoothing, "has_table": bool(columns),
+            }
         )
 
 
 class TargetRateEncoderModel(_TableModel):
+    def entries(self, column: str) -> DataFrame:
+        prior, smoothing = self.learned("prior"), self.learned("smoothing")
+        rate = (F.col("hits") + F.lit(smoothing * prior)) / (F.col("n") + F.lit(float(smoothing)))
+        known = (F.col("column") == column) & F.col("category").isNotNull()
+        return self.table.where(known).select("category", rate.alias("value"))
+
     def _transform(self, df: DataFrame) -> DataFrame:
         for column in self.learned("all"):
             if column not in df.columns:
@@ -223,9 +238,9 @@ def ordinal_codes(df: DataFrame, columns: Sequence[str], max_window: int = MAX_W
     distinct = (
         df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("category").isNotNull()).distinct()
     )
-    distinct = written(distinct, "categories")
-    sizes = distinct.groupBy("column").count().collect()  # a row per column
-    if max((row["count"] for row in sizes), default=0) <= max_window:
+    seen = Observation()
+    distinct = written(distinct.observe(seen, F.count(F.lit(1)).alias("n")), "categories")
+    if seen.get["n"] <= max_window:
         rank = F.row_number().over(Window.partitionBy("column").orderBy("category")) - 1
         return distinct.select("column", "category", rank.cast("int").alias("value"))
     return _sorted_codes(distinct)

@@ -406,10 +406,9 @@ def score_ladder(
         F.sum("bucket_neg").over(group).alias("neg_all"),
         F.lead("head").over(ordered).alias("next_head"),
     )
-    # At most (groups x buckets) rows, a number fixed by the settings.
-    joined = counts.join(F.broadcast(offsets), [*by, "_bucket"]) if not by else _null_safe_join(
-        counts, F.broadcast(offsets), [*by, "_bucket"]
-    )
+    # At most (groups x buckets) rows, a number fixed by the settings. A left join infers
+    # no filter on its left side, so both sides reuse one shuffle of the counts.
+    joined = _null_safe_join(counts, F.broadcast(offsets), [*by, "_bucket"])
     inside = Window.partitionBy(*by, "_bucket").orderBy(F.col("score").desc())
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return joined.select(
@@ -426,7 +425,7 @@ def score_ladder(
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
     condition = _all([F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys])
-    return left.join(renamed, condition).drop(*[f"_r_{c}" for c in keys])
+    return left.join(renamed, condition, "left").drop(*[f"_r_{c}" for c in keys])
 
 
 def ranked_rows(

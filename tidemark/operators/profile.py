@@ -71,9 +71,12 @@ def with_family(profile: DataFrame) -> DataFrame:
 
 
 def column_families(df: DataFrame) -> DataFrame:
-    """Number of columns per family; read from the schema."""
-    rows = sorted(Counter(S.family_of(c) for c in df.columns).items())
-    return df.sparkSession.createDataFrame(rows, "family string, n_columns int")
+    """Columns per family, and how many values they hold."""
+    profile = _per_column(df, df.columns, {"n_missing": lambda c, t: F.count_if(X.missing(c, t))})
+    return with_family(profile).groupBy("family").agg(
+        F.count(F.lit(1)).alias("n_columns"),
+        F.sum(F.col("n_rows") - F.col("n_missing")).alias("n_values"),
+    )
 
 
 def missing_by_family(df: DataFrame, cut: float = 0.7) -> DataFrame:

@@ -108,6 +108,7 @@ MERGED_COLUMNS = (
     "TransactionID", "TransactionDT", "TransactionAmt", "isFraud", "ProductCD", "card1", "addr1", "P_emaildomain",
     "R_emaildomain", "M1", "M4", "mostly_missing", "rarely_missing", "id_02", "DeviceType", "DeviceInfo",
 )
+FEATURE_INPUTS = tuple(c for c in MERGED_COLUMNS if c not in ("TransactionID", "isFraud"))
 FAMILY = {"card1": "card", "addr1": "addr", "M1": "M", "M4": "M", "id_02": "id"}
 
 
@@ -283,8 +284,8 @@ ORACLES: dict[str, str] = {
     "UNION ALL SELECT 'constant', stddev_samp(CAST(3.0 AS DOUBLE)) FROM lineitem "
     "UNION ALL SELECT 'price_tiny', stddev_samp(l_extendedprice / CAST(1e9 AS DOUBLE)) FROM lineitem) WHERE std < 0.01",
     # columns and profiles
-    "column_families": "SELECT family, CAST(n AS BIGINT) AS n_columns FROM (VALUES ('M', 2), ('addr', 1), ('card', 1), ('id', 1), ('other', 11)) t(family, n)",
-    "dtype_counts": "SELECT dtype, CAST(n AS BIGINT) AS n_columns FROM (VALUES ('bigint', 2), ('double', 6), ('int', 1), ('string', 7)) t(dtype, n)",
+    "column_families": f"WITH {MISSING} SELECT family, CAST(count(*) AS BIGINT) AS n_columns, "
+    "CAST(sum((SELECT count(*) FROM merged) - n_missing) AS BIGINT) AS n_values FROM profile GROUP BY family",
     "missing_profile": f'WITH {MISSING} SELECT "column", n_missing, round(missing_rate, 6) AS missing_rate FROM profile',
     "most_missing": f'WITH {MISSING} SELECT "column", n_missing, round(missing_rate, 6) AS missing_rate FROM profile ORDER BY missing_rate DESC, "column" LIMIT 5',
     "missing_by_family": f"WITH {MISSING} SELECT family, round(min(missing_rate), 6) AS rate_min, round(max(missing_rate), 6) AS rate_max, "
@@ -377,7 +378,9 @@ ORACLES: dict[str, str] = {
         f"SELECT '{c}' AS feature, CAST(count({c}) AS BIGINT) AS n, round(median({c}), 6) AS value FROM train"
         for c in ("TransactionAmt", "card1", "addr1", "mostly_missing", "rarely_missing", "id_02")
     ),
-    "pipeline_summary": "SELECT step, metric, CAST(value AS BIGINT) AS value FROM (VALUES ('missing', 'columns_dropped', 5), ('time', 'columns_added', 4), "
+    "pipeline_summary": f"WITH {MERGED}{split_of('merged')}, profile AS ({_missing_rows(FEATURE_INPUTS, 'train')}) "
+    "SELECT 'missing' AS step, 'columns_dropped' AS metric, CAST(count(*) AS BIGINT) AS value FROM profile WHERE missing_rate > 0.7 "
+    "UNION ALL SELECT step, metric, CAST(value AS BIGINT) AS value FROM (VALUES ('time', 'columns_added', 4), "
     "('amount', 'columns_added', 2), ('rates', 'columns_encoded', 1), ('encode', 'binary_flags', 1), ('encode', 'tri_flag_present', 1), "
     "('encode', 'categorical', 1), ('encode', 'numeric_imputed', 11), ('encode', 'features_out', 14)) t(step, metric, value)",
     # curves and metrics
@@ -444,8 +447,8 @@ SELECT r.TransactionID, CAST(r.rank AS BIGINT) AS rank, r.feature, round(r.contr
 FROM ranked r JOIN cases c ON r.TransactionID = c.TransactionID WHERE r.rank <= 2
 UNION ALL SELECT TransactionID, 3, 'other', round(all_terms - two, 6) + 0.0, NULL FROM cases""",
     "stump_contrib": f"WITH {TX} SELECT TransactionID, "
-    "round(CASE WHEN TransactionAmt <= 50 THEN -0.5 ELSE 0.9 END - (-0.5 * 0.7 + 0.9 * 0.3), 6) + 0.0 AS phi_amount, "
-    "round(CASE WHEN card1 <= 75 THEN 0.2 ELSE -0.3 END - (0.2 * 0.4 - 0.3 * 0.6), 6) + 0.0 AS phi_card1, "
+    "CAST(CASE WHEN TransactionAmt <= 50 THEN -0.5 ELSE 0.9 END - (-0.5 * 0.7 + 0.9 * 0.3) AS DOUBLE) AS phi_amount, "
+    "CAST(CASE WHEN card1 <= 75 THEN 0.2 ELSE -0.3 END - (0.2 * 0.4 - 0.3 * 0.6) AS DOUBLE) AS phi_card1, "
     "round(CAST(-0.5 * 0.7 + 0.9 * 0.3 + 0.2 * 0.4 - 0.3 * 0.6 AS DOUBLE), 6) AS base FROM tx",
     "iforest_score_fixed": f"WITH {TX} SELECT TransactionID, round(pow(2.0, -((CASE WHEN TransactionAmt <= 60 THEN 1 + {_PATH[6]} ELSE 1 + {_PATH[2]} END) + "
     f"(CASE WHEN {HOUR} > 6 THEN 1 + {_PATH[5]} WHEN TransactionAmt <= 100 THEN 2 + {_PATH[2]} ELSE 2 END)) / 2 / {_PATH[8]}), 6) AS isolation FROM tx",

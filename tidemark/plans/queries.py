@@ -255,11 +255,6 @@ def column_families(spark, folder):
     return P.column_families(merged(spark, folder))
 
 
-@query
-def dtype_counts(spark, folder):
-    return P.dtype_counts(merged(spark, folder))
-
-
 @query
 def missing_profile(spark, folder):
     return P.missing_profile(merged(spark, folder))

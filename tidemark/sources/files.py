@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import posixpath
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
 from tidemark import schema as S
-from tidemark.session import fresh_path
 
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _INTEGER = r"^[+-]?\d{1,18}$"
@@ -132,35 +132,33 @@ def unless_exists(spark: SparkSession, path: str, build) -> DataFrame:
 class VersionedTable:
     """A table whose content can be replaced while it is being read.
 
-    Every version is its own folder; ``_current`` names the one in force. A reader
-    keeps its version, a failed write changes nothing.
+    Every version is a folder of its own, numbered; the highest one whose write was
+    completed is in force. A reader keeps its version, a failed write changes nothing.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _pointer(self) -> str:
-        return f"{self.root}/_current"
-
-    def current(self) -> str:
-        system, target = _file_system(self.spark, self._pointer())
+    def versions(self) -> list[str]:
+        """Completed versions, oldest first."""
+        system, target = _file_system(self.spark, self.root)
         if not system.exists(target):
-            raise FileNotFoundError(f"no version of {self.root} yet")
-        return self.spark.read.text(self._pointer()).first()[0]
+            return []
+        names = [status.getPath().getName() for status in system.listStatus(target)]
+        return [n for n in sorted(names) if table_exists(self.spark, f"{self.root}/{n}")]
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.current())
+        versions = self.versions()
+        if not versions:
+            raise FileNotFoundError(f"no version of {self.root} yet: write one first")
+        return self.spark.read.parquet(f"{self.root}/{versions[-1]}")
 
     def write(self, df: DataFrame, partition_by: str | None = None) -> str:
-        path = f"{self.root}/{fresh_path(self.spark, 'v').rsplit('/', 1)[-1]}"
+        versions = self.versions()
+        number = int(versions[-1].split("-")[0]) + 1 if versions else 0
+        path = f"{self.root}/{number:08d}-{uuid.uuid4().hex}"
         writer = df.write.partitionBy(partition_by) if partition_by else df.write
         writer.parquet(path)
-        system, target = _file_system(self.spark, self._pointer())
-        stream = system.create(target, True)
-        try:
-            stream.write(bytearray(path, "utf-8"))
-        finally:
-            stream.close()
         return path
 
 
