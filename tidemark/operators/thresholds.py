@@ -48,7 +48,7 @@ def threshold_curve(
     groups = cells.groupBy(*by).agg(
         F.sum("_p").alias("_pos"), F.sum("_n").alias("_neg"),
         F.collect_list(F.struct("_cell", "_p", "_n")).alias("_cells"),
-    )
+    ).where(F.col("_pos").isNotNull())  # without rows there is no curve
     steps = F.array(*[F.struct(F.lit(i + 1).alias("cell"), F.lit(t).alias("t")) for i, t in enumerate(values)])
     expanded = groups.select(*by, "_pos", "_neg", "_cells", F.explode(steps).alias("_g"))
 
