@@ -91,6 +91,17 @@ def test_lookup_without_broadcast_gives_the_same(spark, merged):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_salted_lookup_gives_the_same(spark, merged, monkeypatch):
+    from tidemark.operators import joins
+
+    model = E.TargetRateEncoder().fit(merged)
+    wanted = model.transform(merged)
+    monkeypatch.setattr(joins, "MAX_PLAIN_KEYS", 0)
+    salted = model.transform(merged)
+    assert salted.columns == wanted.columns and salted.count() == wanted.count()
+    assert salted.exceptAll(wanted).count() == 0
+
+
 def test_final_encoder(spark):
     rows = [(1, "T", "M1", "b", 1.0), (2, "F", "M0", "a", 2.0), (3, None, None, "b", None), (4, "T", "M1", None, 4.0)]
     df = spark.createDataFrame(rows, "TransactionID bigint, M1 string, M4 string, word string, x double")

@@ -92,9 +92,10 @@ def test_versions_survive_being_read_while_replaced(spark, tmp_path):
     new = files.append_score(table, spark.range(3).select(F.col("id").alias(S.KEY), (F.col("id") * 2.0).alias(S.SCORE)))
     assert sorted(r[S.SCORE] for r in new.collect()) == [0.0, 2.0, 4.0]
     assert sorted(r[S.SCORE] for r in old.collect()) == [9.0, 9.0, 9.0]
+    assert sorted(r[S.SCORE] for r in files.append_column(table, S.SCORE, F.col(S.KEY) + 0.5).collect()) == [0.5, 1.5, 2.5]
     # A folder without a finished write is not a version.
     (tmp_path / "t" / "99999999-broken").mkdir()
-    assert table.read().count() == 3 and len(table.versions()) == 2
+    assert table.read().count() == 3 and len(table.versions()) == 3
 
 
 def test_resume_builds_once(spark):

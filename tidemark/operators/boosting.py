@@ -22,7 +22,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import schema as S
-from tidemark.functions import scalars as X
+from tidemark.functions import scalars as X, sqltext as sql
 from tidemark.operators.curves import ranking_metrics
 from tidemark.operators.splitting import stratified_sample
 from tidemark.session import fresh_path, shared_dir, written
@@ -32,6 +32,10 @@ TREE_SCHEMA = (
 )
 
 
+# Rounds whose validation scores are ranked together.
+STAGES_PER_JOB = 25
+
+
 # ------------------------------------------------------------------------ class balance
 
 
@@ -143,7 +147,8 @@ class TreeArrays:
 
 
 def feature_struct(features: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)])
+    parts = ", ".join(f"'f{i}', CAST({sql.name(c)} AS DOUBLE)" for i, c in enumerate(features))
+    return F.expr(f"named_struct({parts})")
 
 
 def log_odds_column(spark: SparkSession, ensemble: Ensemble) -> Column:
@@ -175,11 +180,15 @@ def staged_auroc(df: DataFrame, ensemble: Ensemble, label: str, after: int = 0)
             running = trees.value.tree_terms(batch.to_numpy(dtype=float)).cumsum(axis=1)
             yield pd.Series(list(running[:, after:]))
 
-    long = df.select(
-        F.col(label).alias("y"), F.posexplode(stages(feature_struct(ensemble.features))).alias("round", "score")
-    )
-    rows = ranking_metrics(long, "score", "y", ["round"]).select("round", "auroc").collect()
-    return sorted((row["round"] + after + 1, row["auroc"]) for row in rows)
+    found = []
+    # A few rounds per job, so that a row is never multiplied by the whole ensemble.
+    for start in range(after, ensemble.rounds, STAGES_PER_JOB):
+        end = min(start + STAGES_PER_JOB, ensemble.rounds)
+        scores = F.slice(stages(feature_struct(ensemble.features)), start - after + 1, end - start)
+        long = df.select(F.col(label).alias("y"), F.posexplode(scores).alias("round", "score"))
+        rows = ranking_metrics(long, "score", "y", ["round"]).select("round", "auroc").collect()
+        found += [(row["round"] + start + 1, row["auroc"]) for row in rows]
+    return sorted(found)
 
 
 # ------------------------------------------------------------------------------ fitting

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.functions import scalars as X
+from tidemark.functions import scalars as X, sqltext as sql
 from tidemark.operators.boosting import Ensemble, TreeArrays, feature_struct
 
 # Table cells a task keeps between batches; larger ensembles rebuild them per batch.
@@ -120,8 +120,8 @@ def contributions_column(spark: SparkSession, ensemble: Ensemble) -> tuple[Colum
 
 def contribution_rows(df: DataFrame, key: str, features: Sequence[str], terms: str, values: str | None = None) -> DataFrame:
     """Long form ``(key, feature, contribution, value)`` of an array column of terms."""
-    names = F.array(*[F.lit(f) for f in features])
-    held = F.col(values) if values else F.array(*[F.col(f).cast("double") for f in features])
+    names = sql.texts(features)
+    held = F.col(values) if values else sql.double_array(features)
     zipped = F.arrays_zip(names.alias("feature"), F.col(terms).alias("contribution"), held.alias("value"))
     return df.select(key, F.explode(zipped).alias("z")).select(
         key, F.col("z.feature"), F.col("z.contribution"), F.col("z.value")
@@ -130,12 +130,9 @@ def contribution_rows(df: DataFrame, key: str, features: Sequence[str], terms: s
 
 def mean_abs_contributions(df: DataFrame, features: Sequence[str], terms: str, top: int | None = 20) -> DataFrame:
     """Mean absolute term per feature, largest first; one aggregate, nothing is exploded."""
-    wide = df.agg(*[F.avg(F.abs(F.col(terms)[i])).alias(f"m{i}") for i in range(len(features))])
-    rows = wide.select(
-        F.explode(F.array(*[
-            F.struct(F.lit(f).alias("feature"), F.col(f"m{i}").alias("mean_abs")) for i, f in enumerate(features)
-        ])).alias("e")
-    ).select("e.*")
+    wide = df.agg(*[F.expr(f"avg(abs({sql.name(terms)}[{i}])) AS m{i}") for i in range(len(features))])
+    entries = [f"named_struct('feature', {sql.text(f)}, 'mean_abs', m{i})" for i, f in enumerate(features)]
+    rows = wide.select(sql.rows_of(entries).alias("e")).select("e.*")
     ordered = rows.orderBy(F.col("mean_abs").desc(), "feature")
     return ordered if top is None else ordered.limit(top)
 
@@ -145,7 +142,7 @@ def strongest(terms: Column, values: Column, features: Sequence[str], top: int)
 
     Structs sort by their fields, so no comparator runs per pair.
     """
-    names = F.array(*[F.lit(f) for f in features])
+    names = sql.texts(features)
     entries = F.transform(
         terms,
         lambda c, i: F.struct((-F.abs(c)).alias("size"), i.alias("place"), c.alias("c"), values[i].alias("v"), names[i].alias("f")),

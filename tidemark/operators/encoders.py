@@ -17,14 +17,14 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
     DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReader, MLWritable, MLWriter,
 )
-from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark import schema as S
 from tidemark.functions import scalars as X
 from tidemark.operators.joins import lookup
 from tidemark.operators.ordering import exact_quantiles
 from tidemark.operators.profile import missing_profile, numeric_columns, string_columns
-from tidemark.session import written
+from tidemark.session import written, written_counted
 
 # More categories than this in one column are ranked by a distributed sort.
 MAX_WINDOW_CATEGORIES = 2_000_000
@@ -191,17 +191,17 @@ class TargetRateEncoder(Estimator, _Stage, DefaultParamsReadable, DefaultParamsW
         columns = [c for c in self.getOrDefault("inputCols") if c in df.columns]
         model = TargetRateEncoderModel()
         if columns:
-            model.table = written(category_sums(df, columns, label), "rates")
+            model.table, entries = written_counted(category_sums(df, columns, label), "rates")
             # Any one column's categories, the missing one included, cover all rows.
             prior = (
                 model.table.where(F.col("column") == columns[0]).agg(F.sum("hits") / F.sum("n")).first()[0]
             )
         else:
-            prior = df.agg(F.avg(F.col(label).cast("double"))).first()[0]
+            prior, entries = df.agg(F.avg(F.col(label).cast("double"))).first()[0], 0
         return model._set(
             state={
                 "columns": columns, "all": self.getOrDefault("inputCols"), "prior": prior,
-                "smoothing": smoothing, "has_table": bool(columns),
+                "smoothing": smoothing, "entries": entries, "has_table": bool(columns),
             }
         )
 
@@ -218,7 +218,10 @@ class TargetRateEncoderModel(_TableModel):
             if column not in df.columns:
                 continue
             if column in self.learned("columns"):
-                df = lookup(df, self.entries(column), column, "value", self.learned("prior"), f"{column}_risk")
+                df = lookup(
+                    df, self.entries(column), column, "value", self.learned("prior"), f"{column}_risk",
+                    self.learned("entries"),
+                )
             else:
                 df = df.withColumn(f"{column}_risk", F.lit(self.learned("prior")))
             df = df.drop(column)
@@ -238,9 +241,8 @@ def ordinal_codes(df: DataFrame, columns: Sequence[str], max_window: int = MAX_W
     distinct = (
         df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("category").isNotNull()).distinct()
     )
-    seen = Observation()
-    distinct = written(distinct.observe(seen, F.count(F.lit(1)).alias("n")), "categories")
-    if seen.get["n"] <= max_window:
+    distinct, entries = written_counted(distinct, "categories")
+    if entries <= max_window:
         rank = F.row_number().over(Window.partitionBy("column").orderBy("category")) - 1
         return distinct.select("column", "category", rank.cast("int").alias("value"))
     return _sorted_codes(distinct)
@@ -296,13 +298,14 @@ class FinalEncoder(Estimator, _Stage, DefaultParamsReadable, DefaultParamsWritab
         if empty:
             raise ValueError(f"no training value to take a median of: {empty}")
         model = FinalEncoderModel()
+        entries = 0
         if tri + categories:
-            model.table = written(ordinal_codes(df, tri + categories), "codes")
+            model.table, entries = written_counted(ordinal_codes(df, tri + categories), "codes")
         return model._set(
             state={
                 "flags": flags, "tri": tri, "categories": categories, "numbers": numbers, "fill": fill,
                 "features": [c for c in features if c in {*flags, *tri, *categories, *numbers}],
-                "has_table": bool(tri + categories),
+                "entries": entries, "has_table": bool(tri + categories),
             }
         )
 
@@ -321,7 +324,8 @@ class FinalEncoderModel(_TableModel):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         for column in self.learned("tri") + self.learned("categories"):
-            df = lookup(df, self.entries(column), column, "value", -1, "_code").drop(column).withColumnRenamed("_code", column)
+            coded = lookup(df, self.entries(column), column, "value", -1, "_code", self.learned("entries"))
+            df = coded.drop(column).withColumnRenamed("_code", column)
         flags, fill = set(self.learned("flags")), self.learned("fill")
         types = {f.name: f.dataType for f in df.schema}
         columns = [F.col(c) for c in S.PASSTHROUGH if c in df.columns]

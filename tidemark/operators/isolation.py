@@ -20,6 +20,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark import schema as S
+from tidemark.functions import sqltext as sql
 from tidemark.functions.scalars import portable_hash
 from tidemark.operators.encoders import _TableModel
 from tidemark.operators.ordering import exact_quantiles
@@ -167,7 +168,8 @@ def isolation_column(spark: SparkSession, nodes: DataFrame, columns: Sequence[st
         for batch in batches:
             yield pd.Series(forest.value.isolation(batch.to_numpy(dtype=float)))
 
-    return isolation(F.struct(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(columns)]))
+    parts = ", ".join(f"'f{i}', CAST({sql.name(c)} AS DOUBLE)" for i, c in enumerate(columns))
+    return isolation(F.expr(f"named_struct({parts})"))
 
 
 class _ForestParams(Params):

@@ -28,16 +28,31 @@ def identity_coverage(transactions: DataFrame, identity: DataFrame, key: str = S
     )
 
 
-def lookup(df: DataFrame, table: DataFrame, column: str, value: str, default, target: str) -> DataFrame:
+# A lookup table with more keys than this is joined with salted keys.
+MAX_PLAIN_KEYS = 500_000
+SALTS = 32
+
+
+def lookup(
+    df: DataFrame, table: DataFrame, column: str, value: str, default, target: str, keys: int = 0,
+    key: str = S.KEY,
+) -> DataFrame:
     """``table[column] -> value`` with a default for unseen and missing keys.
 
-    ``table`` has unique keys and comes from storage, so its size is known: small
-    ones are broadcast, large ones are joined by key, where adaptive execution
-    divides a hot key of ``df``.
+    ``table`` has unique keys and comes from storage, so its size is known and the
+    planner broadcasts a small one. One with many ``keys`` will be shuffled: rows of a
+    hot (or missing) key are then spread over several tasks by a salt from their own
+    key, and the table carries a copy of each entry per salt.
     """
     side = table.select(F.col(table.columns[0]).alias(column), F.col(value).alias("_value"))
+    on = [column]
+    if keys > MAX_PLAIN_KEYS:
+        own = [key] if key in df.columns else df.columns
+        df = df.withColumn("_salt", F.pmod(F.xxhash64(*own), F.lit(SALTS)).cast("int"))
+        side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        on.append("_salt")
     return (
-        df.join(side, column, "left")
+        df.join(side, on, "left")
         .withColumn(target, F.coalesce(F.col("_value"), F.lit(default)))
-        .drop("_value")
+        .drop("_value", "_salt")
     )

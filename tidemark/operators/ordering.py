@@ -3,9 +3,9 @@
 Nothing here sorts a whole table in one task. Two ideas do the work:
 
 * *Bracketing.* One mergeable sketch pass brackets a wanted rank; an exact counting
-  pass then keeps only the values inside the brackets and folds everything between
-  them into one row per gap. The result is exact, and what is shuffled is a small
-  share of the data.
+  pass then lists only the values inside the brackets and counts everything between
+  them as one row per gap. The result is exact, and what is shuffled is a small share
+  of the data.
 * *Range buckets.* Rows get a bucket by literal split points, so a retried task
   computes the same bucket again. Running sums are windows inside a bucket plus the
   total of the buckets before it, one row per bucket.
@@ -20,9 +20,13 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tidemark.functions import sqltext as sql
+
 # Values a single window task may hold in order; more of them get another sketch pass.
 MAX_BRACKET_ROWS = 4_000_000
 SKETCH_ACCURACY = 1_000
+# Range buckets of a prefix sum: a row each is all that is ever gathered or broadcast.
+MAX_BUCKETS = 4_000
 
 
 # --------------------------------------------------------------------------- brackets
@@ -40,10 +44,6 @@ class _Target:
     count: int = 0
 
 
-def _sql_literal(value, dtype: T.DataType) -> Column:
-    return F.lit(value).cast(dtype)
-
-
 def _merge(intervals: list[tuple]) -> list[tuple]:
     merged: list[list] = []
     for low, high in sorted(intervals):
@@ -54,91 +54,106 @@ def _merge(intervals: list[tuple]) -> list[tuple]:
     return [tuple(pair) for pair in merged]
 
 
-def _sketch(df: DataFrame, cells: dict[str, Column], by: Sequence[str], targets_probs, accuracy: int):
+def _sketch(df: DataFrame, cells: Sequence[str], by: Sequence[str], targets_probs, accuracy: int):
     """One pass: non-null count and bracket of every wanted position."""
     wanted = []
     for prob in targets_probs:
         wanted += [max(prob - 2.0 / accuracy, 0.0), min(prob + 2.0 / accuracy, 1.0)]
-    probs = F.array(*[F.lit(float(p)) for p in wanted])
+    probs = f"array({', '.join(sql.number(float(p)) for p in wanted)})"
     aggs = []
-    for i, cell in enumerate(cells.values()):
-        aggs.append(F.count(cell).alias(f"n{i}"))
-        aggs.append(F.percentile_approx(cell, probs, accuracy).alias(f"q{i}"))
+    for i in range(len(cells)):
+        aggs.append(F.expr(f"count(_c{i}) AS n{i}"))
+        aggs.append(F.expr(f"percentile_approx(_c{i}, {probs}, {accuracy}) AS q{i}"))
     return df.groupBy(*by).agg(*aggs).collect()
 
 
-def _narrow(df, cells, by, targets: list[_Target], accuracy: int) -> None:
+def _narrow(df, cells, by, kind, targets: list[_Target], accuracy: int) -> None:
     """Two more passes that shrink every bracket by another factor of the accuracy."""
-    group_filter = {
-        t.group: _all([F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(by, t.group)]) for t in targets
-    }
+    place = {feature: i for i, feature in enumerate(cells)}
+
+    def inside(t: _Target) -> str:
+        here = " AND ".join(f"{sql.name(c)} <=> {_group_literal(v)}" for c, v in zip(by, t.group)) or "TRUE"
+        return f"{here} AND _c{place[t.feature]} BETWEEN {sql.number(t.low, kind)} AND {sql.number(t.high, kind)}"
+
+    def below(t: _Target) -> str:
+        here = " AND ".join(f"{sql.name(c)} <=> {_group_literal(v)}" for c, v in zip(by, t.group)) or "TRUE"
+        return f"{here} AND _c{place[t.feature]} < {sql.number(t.low, kind)}"
+
     counts = []
     for i, t in enumerate(targets):
-        cell, here = cells[t.feature], group_filter[t.group]
-        counts.append(F.count_if(here & (cell < t.low)).alias(f"b{i}"))
-        counts.append(F.count_if(here & cell.between(t.low, t.high)).alias(f"m{i}"))
+        counts += [F.expr(f"count_if({below(t)}) AS b{i}"), F.expr(f"count_if({inside(t)}) AS m{i}")]
     row = df.agg(*counts).first()
     aggs = []
     for i, t in enumerate(targets):
-        cell, here = cells[t.feature], group_filter[t.group]
-        inside = max(row[f"m{i}"], 1)
+        held = max(row[f"m{i}"], 1)
         rank = (t.count - 1) * t.prob - row[f"b{i}"]
         # A rank right at the bracket's edge (ties) is inside after clamping.
-        share = min(max(rank / inside, 0.0), 1.0)
-        probs = [max(share - 2.0 / accuracy, 0.0), min(share + 2.0 / accuracy, 1.0)]
-        aggs.append(
-            F.percentile_approx(
-                F.when(here & cell.between(t.low, t.high), cell),
-                F.array(*[F.lit(p) for p in probs]),
-                accuracy,
-            ).alias(f"q{i}")
-        )
+        share = min(max(rank / held, 0.0), 1.0)
+        low, high = max(share - 2.0 / accuracy, 0.0), min(share + 2.0 / accuracy, 1.0)
+        probs = f"array({sql.number(low)}, {sql.number(high)})"
+        value = f"CASE WHEN {inside(t)} THEN _c{place[t.feature]} END"
+        aggs.append(F.expr(f"percentile_approx({value}, {probs}, {accuracy}) AS q{i}"))
     row = df.agg(*aggs).first()
     for i, t in enumerate(targets):
         if row[f"q{i}"] is not None:
             t.low, t.high = row[f"q{i}"]
 
 
-def _all(conditions: list[Column]) -> Column:
-    result = F.lit(True)
-    for condition in conditions:
-        result = result & condition
-    return result
+def _group_literal(value) -> str:
+    if value is None:
+        return "NULL"
+    return sql.text(value) if isinstance(value, str) else str(value)
 
 
-def _folded(df, cells, by, brackets: dict[str, list[tuple]], dtype) -> DataFrame:
+def _folded(df, cells, by, brackets: dict[str, list[tuple]], kind: str) -> DataFrame:
     """Exact counts of bracketed values; a gap between brackets is one row.
 
     ``at`` orders the rows of a feature: a bracketed value itself, or the upper end
-    of the bracket below a gap (``gap`` = 1 sorts the gap after that value).
+    of the bracket below a gap (``gap`` = 1 sorts the gap after that value). Gaps and
+    one-value brackets, nearly all of the data, are counted by a wide aggregate; only
+    values inside the other brackets become rows of their own.
     """
-    structs = []
-    for feature, cell in cells.items():
-        spans = brackets.get(feature)
-        if not spans:
-            continue
-        at = F.when(cell < _sql_literal(spans[0][0], dtype), F.lit(None).cast(dtype))
-        gap = F.when(cell < _sql_literal(spans[0][0], dtype), F.lit(1))
-        for i, (low, high) in enumerate(spans):
-            at = at.when(cell <= _sql_literal(high, dtype), cell)
-            gap = gap.when(cell <= _sql_literal(high, dtype), F.lit(0))
-            upper = spans[i + 1][0] if i + 1 < len(spans) else None
-            if upper is not None:
-                at = at.when(cell < _sql_literal(upper, dtype), _sql_literal(high, dtype))
-                gap = gap.when(cell < _sql_literal(upper, dtype), F.lit(1))
-        at = at.otherwise(_sql_literal(spans[-1][1], dtype))
-        structs.append(
-            F.struct(
-                F.lit(feature).alias("feature"),
-                at.alias("at"),
-                gap.otherwise(F.lit(1)).alias("gap"),
-                cell.alias("v"),
-            )
+    aggs, counted, listed, hit = [], [], [], []
+
+    def count(feature: str, where: str, cell: str, at, gap: int) -> None:
+        i, held = len(counted), f"CASE WHEN {where} THEN {cell} END"
+        aggs.extend([F.expr(f"count_if({where}) AS n{i}"), F.expr(f"min({held}) AS a{i}"), F.expr(f"max({held}) AS b{i}")])
+        counted.append(
+            f"named_struct('feature', {sql.text(feature)}, 'at', {sql.number(at, kind)}, 'gap', {gap}, "
+            f"'n', n{i}, 'v_min', a{i}, 'v_max', b{i})"
         )
-    exploded = df.select(*by, F.explode(F.array(*structs)).alias("c")).where(F.col("c.v").isNotNull())
-    return exploded.groupBy(
-        *by, F.col("c.feature").alias("feature"), F.col("c.at").alias("at"), F.col("c.gap").alias("gap")
-    ).agg(F.count(F.lit(1)).alias("n"), F.min("c.v").alias("v_min"), F.max("c.v").alias("v_max"))
+
+    for i, feature in enumerate(cells):
+        cell, last = f"_c{i}", None
+        for low, high in brackets.get(feature, ()):
+            below = f"{cell} < {sql.number(low, kind)}"
+            if last is not None:
+                below += f" AND {cell} > {sql.number(last, kind)}"
+            count(feature, below, cell, last, 1)
+            if low == high:
+                count(feature, f"{cell} = {sql.number(low, kind)}", cell, low, 0)
+            else:
+                inside = f"{cell} BETWEEN {sql.number(low, kind)} AND {sql.number(high, kind)}"
+                hit.append(f"coalesce({inside}, FALSE)")
+                listed.append(f"CASE WHEN {inside} THEN named_struct('feature', {sql.text(feature)}, 'at', {cell}) END")
+            last = high
+        if last is not None:
+            count(feature, f"{cell} > {sql.number(last, kind)}", cell, last, 1)
+
+    shape = [*by, "feature", "at", "gap", "n", "v_min", "v_max"]
+    gaps = (
+        df.groupBy(*by).agg(*aggs).select(*by, sql.rows_of(counted).alias("c")).select(*by, "c.*")
+        .where(F.col("n") > 0).select(*shape)
+    )
+    if not listed:
+        return gaps
+    values = (
+        df.where(" OR ".join(hit))
+        .select(*by, F.expr(f"explode(array_compact(array({', '.join(listed)})))").alias("c"))
+        .groupBy(*by, "c.feature", "c.at").agg(F.count(F.lit(1)).alias("n"))
+        .select("*", F.lit(0).alias("gap"), F.col("at").alias("v_min"), F.col("at").alias("v_max"))
+    )
+    return gaps.unionByName(values.select(*shape))
 
 
 def _positioned(folded: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -152,20 +167,23 @@ def _positioned(folded: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _value_at(position: Column) -> Column:
-    """Value at a 0-based position; NULL on rows that do not hold it."""
-    start = F.col("upto") - F.col("n")
-    holds = (position >= start) & (position < F.col("upto"))
-    # In a gap only its ends are known; the sketch bound never asks for more.
-    known = (
-        F.when(F.col("gap") == 0, F.col("v_min"))
-        .when(position == start, F.col("v_min"))
-        .when(position == F.col("upto") - 1, F.col("v_max"))
+def _value_at(position: str) -> str:
+    """Value at a 0-based position; NULL on rows that do not hold it.
+
+    In a gap only its ends are known; the sketch bound never asks for more.
+    """
+    return (
+        f"CASE WHEN {position} >= upto - n AND {position} < upto THEN "
+        f"CASE WHEN gap = 0 OR {position} = upto - n THEN v_min WHEN {position} = upto - 1 THEN v_max END END"
     )
-    return F.when(holds, known)
 
 
-def _bracket(df, cells, by, probs, accuracy, limit):
+def _cells(df: DataFrame, cells: dict[str, Column], by: Sequence[str]) -> DataFrame:
+    """The group columns and the cells as ``_c0, _c1, …``."""
+    return df.select(*by, *[cell.alias(f"_c{i}") for i, cell in enumerate(cells.values())])
+
+
+def _bracket(df, cells, by, kind, probs, accuracy, limit):
     targets: list[_Target] = []
     for row in _sketch(df, cells, by, probs, accuracy):
         group = tuple(row[c] for c in by)
@@ -178,7 +196,7 @@ def _bracket(df, cells, by, probs, accuracy, limit):
     share = 4.0 / accuracy
     rows = max((t.count * share for t in targets), default=0)
     while rows > limit:
-        _narrow(df, cells, by, targets, accuracy)
+        _narrow(df, cells, by, kind, targets, accuracy)
         rows *= share
     brackets: dict[str, list[tuple]] = {}
     for t in targets:
@@ -200,39 +218,28 @@ def exact_quantiles(
     task is a sketch per column, then at most about ``limit`` distinct values of one
     column, whatever the table's size. ``by`` is meant for a handful of groups.
     """
-    cells = columns if isinstance(columns, dict) else {c: F.col(c) for c in columns}
-    cells = {name: _not_nan(cell.cast("double")) for name, cell in cells.items()}
-    result_fields = ["n"] + [f"q{i}" for i in range(len(probs))]
-    brackets, targets = _bracket(df, cells, by, probs, accuracy, limit) if cells else ({}, [])
+    if isinstance(columns, dict):
+        cells = {name: F.nanvl(cell.cast("double"), F.lit(None)) for name, cell in columns.items()}
+    else:
+        cells = {c: F.expr(f"nanvl(CAST({sql.name(c)} AS DOUBLE), NULL)") for c in columns}
+    table = _cells(df, cells, by)
+    brackets, targets = _bracket(table, cells, by, "DOUBLE", probs, accuracy, limit) if cells else ({}, [])
     if not targets:
-        keys = [df.schema[c] for c in by] + [T.StructField("feature", T.StringType())]
-        values = [T.StructField(c, T.LongType() if c == "n" else T.DoubleType()) for c in result_fields]
-        return df.sparkSession.createDataFrame([], T.StructType(keys + values))
-    table = _positioned(_folded(df, cells, by, brackets, T.DoubleType()), by)
-    aggs = [F.max("total").alias("n")]
+        fields = [df.schema[c] for c in by] + [T.StructField("feature", T.StringType()), T.StructField("n", T.LongType())]
+        fields += [T.StructField(f"q{i}", T.DoubleType()) for i in range(len(probs))]
+        return df.sparkSession.createDataFrame([], T.StructType(fields))
+    aggs, results = ["max(total) AS n"], []
     for i, prob in enumerate(probs):
-        place = (F.col("total") - 1) * F.lit(float(prob))
-        below = F.floor(place)
-        above = F.least(below + 1, F.col("total") - 1)
+        place = f"((total - 1) * {sql.number(float(prob))})"
+        below, above = f"floor{place}", f"least(floor{place} + 1, total - 1)"
         aggs += [
-            F.max(_value_at(below)).alias(f"lo{i}"),
-            F.max(_value_at(above)).alias(f"hi{i}"),
-            F.max(place - below).alias(f"w{i}"),
+            f"max({_value_at(below)}) AS lo{i}", f"max({_value_at(above)}) AS hi{i}", f"max({place} - {below}) AS w{i}",
         ]
-    grouped = table.groupBy(*by, "feature").agg(*aggs)
-    # lo + (hi - lo) * w is exactly lo when both neighbours are equal, so a cut at a
-    # tied value still includes the tie.
-    return grouped.select(
-        *by, "feature", "n",
-        *[
-            (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"w{i}")).alias(f"q{i}")
-            for i in range(len(probs))
-        ],
-    )
-
-
-def _not_nan(cell: Column) -> Column:
-    return F.when(~F.isnan(cell), cell)
+        # lo + (hi - lo) * w is exactly lo when both neighbours are equal, so a cut at
+        # a tied value still includes the tie.
+        results.append(F.expr(f"lo{i} + (hi{i} - lo{i}) * w{i} AS q{i}"))
+    placed = _positioned(_folded(table, cells, by, brackets, "DOUBLE"), by)
+    return placed.groupBy(*by, "feature").agg(*map(F.expr, aggs)).select(*by, "feature", "n", *results)
 
 
 # --------------------------------------------------------------------------- cut keys
@@ -273,22 +280,20 @@ def _order_statistics(df, column, fractions, positions, accuracy, limit):
     ``fractions`` say roughly where the positions are; ``positions`` maps the exact
     row count, known after the sketch pass, to the positions themselves.
     """
-    dtype = df.schema[column].dataType
+    kind = df.schema[column].dataType.simpleString()
     cells = {column: F.col(column)}
-    brackets, targets = _bracket(df, cells, (), fractions, accuracy, limit)
+    table = _cells(df, cells, ())
+    brackets, targets = _bracket(table, cells, (), kind, fractions, accuracy, limit)
     count = targets[0].count if targets else 0
     inside = sorted({p for p in positions(count) if 0 <= p < count})
     if not inside:
         return {}, count
-    table = _positioned(_folded(df, cells, (), brackets, dtype), ())
-    start = F.col("upto") - F.col("n")
     aggs = []
     for i, p in enumerate(inside):
-        value = _value_at(F.lit(p))
-        aggs.append(
-            F.max(F.when(value.isNotNull(), F.struct(value.alias("v"), start.alias("below"), "n", "gap"))).alias(f"p{i}")
-        )
-    row = table.agg(*aggs).first()
+        value = _value_at(str(p))
+        entry = f"named_struct('v', {value}, 'below', upto - n, 'n', n, 'gap', gap)"
+        aggs.append(F.expr(f"max(CASE WHEN {value} IS NOT NULL THEN {entry} END) AS p{i}"))
+    row = _positioned(_folded(table, cells, (), brackets, kind), ()).agg(*aggs).first()
     found = {}
     for i, p in enumerate(inside):
         hit = row[f"p{i}"]
@@ -344,16 +349,12 @@ def cut_keys(
 def _bucket_count(df: DataFrame) -> int:
     """Range buckets to aim for: some per shuffle partition, so that they balance."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(2 * partitions, 4_000))
+    return max(8, min(2 * partitions, MAX_BUCKETS))
 
 
 def _split_points(df: DataFrame, column: Column, buckets: int) -> list[float]:
-    probs = [i / buckets for i in range(1, buckets)]
-    row = df.select(
-        F.percentile_approx(
-            column.cast("double"), F.array(*[F.lit(p) for p in probs]), max(4 * buckets, 100)
-        ).alias("q")
-    ).first()
+    probs = sql.doubles([i / buckets for i in range(1, buckets)])
+    row = df.select(F.percentile_approx(column.cast("double"), probs, max(4 * buckets, 100)).alias("q")).first()
     return list(row["q"] or [])
 
 
@@ -380,54 +381,50 @@ def score_ladder(
     Rows are pre-aggregated per score before any window, so a score shared by a third
     of the table is one row, and each window covers one bucket of distinct scores.
     """
-    by = list(by)
-    rows = df.select(*by, F.col(score).cast("double").alias("score"), F.col(label).cast("int").alias("_y"))
-    rows = rows.where(F.col("score").isNotNull() & ~F.isnan("score") & F.col("_y").isNotNull())
+    # The group columns travel as one struct: it is never NULL itself, so groups with
+    # missing values join and partition like any other.
+    group = [F.struct(*by).alias("_g")] if by else []
+    keys = ["_g", "_bucket"] if by else ["_bucket"]
+    rows = df.select(*group, F.col(score).cast("double").alias("score"), F.col(label).cast("int").alias("_y"))
+    rows = rows.where("score IS NOT NULL AND NOT isnan(score) AND _y IS NOT NULL")
     points = _split_points(rows, F.col("score"), buckets or _bucket_count(df))
     counts = (
         _bucketize(rows, "score", "_bucket", points)
-        .groupBy(*by, "_bucket", "score")
-        .agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") != 1).alias("neg"))
+        .groupBy(*keys, "score")
+        .agg(F.expr("count_if(_y = 1) AS pos"), F.expr("count_if(_y <> 1) AS neg"))
     )
-    # One row per bucket from here: the window below sees at most that many rows.
-    totals = counts.groupBy(*by, "_bucket").agg(
-        F.sum("pos").alias("bucket_pos"),
-        F.sum("neg").alias("bucket_neg"),
-        F.max(F.struct("score", "pos", "neg")).alias("head"),
+    # One row per group and bucket from here: the windows below see at most that many.
+    totals = counts.groupBy(*keys).agg(
+        F.expr("sum(pos) AS bucket_pos"), F.expr("sum(neg) AS bucket_neg"), F.expr("max(struct(score, pos, neg)) AS head")
     )
-    group = Window.partitionBy(*(by or [F.lit(0)]))
-    higher = group.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ordered = group.orderBy(F.col("_bucket").desc())
-    offsets = totals.select(
-        *by, "_bucket",
-        F.coalesce(F.sum("bucket_pos").over(higher), F.lit(0)).alias("pos_before"),
-        F.coalesce(F.sum("bucket_neg").over(higher), F.lit(0)).alias("neg_before"),
-        F.sum("bucket_pos").over(group).alias("pos_all"),
-        F.sum("bucket_neg").over(group).alias("neg_all"),
-        F.lead("head").over(ordered).alias("next_head"),
+    part = "PARTITION BY _g" if by else "PARTITION BY 0"
+    higher = f"OVER ({part} ORDER BY _bucket DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = totals.selectExpr(
+        *keys,
+        f"coalesce(sum(bucket_pos) {higher}, 0) AS pos_before", f"coalesce(sum(bucket_neg) {higher}, 0) AS neg_before",
+        f"sum(bucket_pos) OVER ({part}) AS pos_all", f"sum(bucket_neg) OVER ({part}) AS neg_all",
+        f"lead(head) OVER ({part} ORDER BY _bucket DESC) AS next_head",
     )
-    # At most (groups x buckets) rows, a number fixed by the settings. A left join infers
-    # no filter on its left side, so both sides reuse one shuffle of the counts.
-    joined = _null_safe_join(counts, F.broadcast(offsets), [*by, "_bucket"])
-    inside = Window.partitionBy(*by, "_bucket").orderBy(F.col("score").desc())
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Without groups the offsets have at most one row per bucket, a number fixed by the
+    # settings, and are broadcast. With groups the planner decides by their size; a
+    # shuffled join then has the partitioning the window needs. A left join infers no
+    # filter on its left side, so both sides reuse one shuffle of the counts.
+    joined = counts.join(offsets if by else F.broadcast(offsets), keys, "left")
+    inside = f"PARTITION BY {', '.join(keys)} ORDER BY score DESC"
+    upto = f"OVER ({inside} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     return joined.select(
-        *by, "score", "pos", "neg",
-        (F.col("pos_before") + F.sum("pos").over(upto)).alias("pos_upto"),
-        (F.col("neg_before") + F.sum("neg").over(upto)).alias("neg_upto"),
-        "pos_all", "neg_all",
-        F.coalesce(F.lead("pos").over(inside), F.col("next_head.pos")).alias("pos_next"),
-        F.coalesce(F.lead("neg").over(inside), F.col("next_head.neg")).alias("neg_next"),
-        ((F.col("pos_before") + F.col("neg_before") == 0) & (F.row_number().over(inside) == 1)).alias("first"),
+        *[F.col("_g")[c].alias(c) for c in by],
+        *map(F.expr, (
+            "score", "pos", "neg",
+            f"pos_before + sum(pos) {upto} AS pos_upto", f"neg_before + sum(neg) {upto} AS neg_upto",
+            "pos_all", "neg_all",
+            f"coalesce(lead(pos) OVER ({inside}), next_head.pos) AS pos_next",
+            f"coalesce(lead(neg) OVER ({inside}), next_head.neg) AS neg_next",
+            f"pos_before + neg_before = 0 AND row_number() OVER ({inside}) = 1 AS first",
+        )),
     )
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    condition = _all([F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys])
-    return left.join(renamed, condition, "left").drop(*[f"_r_{c}" for c in keys])
-
-
 def ranked_rows(
     df: DataFrame, score: str, key: str, label: str, buckets: int | None = None
 ) -> DataFrame:

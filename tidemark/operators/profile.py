@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidemark import schema as S
-from tidemark.functions import scalars as X
+from tidemark.functions import scalars as X, sqltext as sql
 from tidemark.operators.ordering import exact_quantiles
 
 
@@ -30,27 +30,26 @@ def dtype_counts(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "dtype string, n_columns int")
 
 
-def _per_column(df: DataFrame, columns: Sequence[str], measures: dict[str, callable]) -> DataFrame:
-    """One aggregate over all columns, turned to one row per column."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, name in enumerate(columns):
-        dtype = df.schema[name].dataType
-        aggs += [build(F.col(name), dtype).alias(f"_{key}_{i}") for key, build in measures.items()]
-    wide = df.agg(*aggs)
-    entries = [
-        F.struct(F.lit(name).alias("column"), *[F.col(f"_{key}_{i}").alias(key) for key in measures])
-        for i, name in enumerate(columns)
-    ]
-    return wide.select("_rows", F.explode(F.array(*entries)).alias("c")).select(
-        "c.*", F.col("_rows").alias("n_rows")
-    )
+def _per_column(df: DataFrame, columns: Sequence[str], measures: dict[str, str]) -> DataFrame:
+    """One aggregate over all columns, turned to one row per column.
+
+    A measure is SQL text over ``{c}``, the column, and ``{missing}``, its test.
+    """
+    aggs, entries = [F.count(F.lit(1)).alias("_rows")], []
+    for i, column in enumerate(columns):
+        parts = {"c": sql.name(column), "missing": sql.is_missing(column, df.schema[column].dataType)}
+        aggs += [F.expr(f"{measure.format(**parts)} AS _{key}_{i}") for key, measure in measures.items()]
+        held = ", ".join(f"{sql.text(key)}, _{key}_{i}" for key in measures)
+        entries.append(f"named_struct('column', {sql.text(column)}, {held})")
+    return df.agg(*aggs).select("_rows", sql.rows_of(entries).alias("c")).select("c.*", F.col("_rows").alias("n_rows"))
+
+
+N_MISSING = "count_if({missing})"
 
 
 def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column, n_missing, missing_rate)`` of every column, in one pass."""
-    profile = _per_column(
-        df, columns or df.columns, {"n_missing": lambda c, t: F.count_if(X.missing(c, t))}
-    )
+    profile = _per_column(df, columns or df.columns, {"n_missing": N_MISSING})
     return profile.select(
         "column", "n_missing", X.ratio(F.col("n_missing"), F.col("n_rows")).alias("missing_rate")
     )
@@ -72,7 +71,7 @@ def with_family(profile: DataFrame) -> DataFrame:
 
 def column_families(df: DataFrame) -> DataFrame:
     """Columns per family, and how many values they hold."""
-    profile = _per_column(df, df.columns, {"n_missing": lambda c, t: F.count_if(X.missing(c, t))})
+    profile = _per_column(df, df.columns, {"n_missing": N_MISSING})
     return with_family(profile).groupBy("family").agg(
         F.count(F.lit(1)).alias("n_columns"),
         F.sum(F.col("n_rows") - F.col("n_missing")).alias("n_values"),
@@ -113,9 +112,7 @@ def missing_cells(df: DataFrame) -> DataFrame:
 
 def low_variance(df: DataFrame, columns: Sequence[str] | None = None, cut: float = 0.01) -> DataFrame:
     """Numeric columns whose sample standard deviation is below ``cut``."""
-    spread = _per_column(
-        df, columns or numeric_columns(df), {"std": lambda c, t: F.stddev_samp(c.cast("double"))}
-    )
+    spread = _per_column(df, columns or numeric_columns(df), {"std": "stddev_samp(CAST({c} AS DOUBLE))"})
     return spread.where(F.col("std") < cut).select("column", "std")
 
 
@@ -167,7 +164,7 @@ def cardinality(df: DataFrame, columns: Sequence[str] | None = None, approximate
     columns = list(columns or string_columns(df))
     profile = missing_profile(df, columns).select("column", "missing_rate")
     if approximate:
-        distinct = _per_column(df, columns, {"n_distinct": lambda c, t: F.approx_count_distinct(c)})
+        distinct = _per_column(df, columns, {"n_distinct": "approx_count_distinct({c})"})
         distinct = distinct.select("column", "n_distinct")
     else:
         distinct = value_counts(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
@@ -193,13 +190,8 @@ def time_span(df: DataFrame, time: str = S.TIME) -> DataFrame:
 
 def family_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean and missing share of numeric columns."""
-    stats = _per_column(
-        df, columns,
-        {
-            "n_missing": lambda c, t: F.count_if(X.missing(c, t)),
-            "mean": lambda c, t: F.avg(F.when(~X.missing(c, t), c.cast("double"))),
-        },
-    )
+    mean = "avg(CASE WHEN NOT {missing} THEN CAST({c} AS DOUBLE) END)"
+    stats = _per_column(df, columns, {"n_missing": N_MISSING, "mean": mean})
     return stats.select("column", X.ratio(F.col("n_missing"), F.col("n_rows")).alias("missing_rate"), "mean")
 
 
@@ -208,16 +200,11 @@ def correlations(df: DataFrame, target: str, columns: Sequence[str]) -> DataFram
 
     NULL where a side is constant. One pass for all columns.
     """
-    y = F.col(target).cast("double")
-
-    def r(column: Column, dtype: T.DataType) -> Column:
-        present = ~X.missing(column, dtype) & y.isNotNull()
-        x = F.when(present, column.cast("double"))
-        paired = F.when(present, y)
-        spread = F.stddev_pop(x) * F.stddev_pop(paired)
-        # NULLIF keeps a constant column from dividing by zero in ANSI mode.
-        return F.covar_pop(x, paired) / F.when(spread > 0, spread)
-
+    y = f"CAST({sql.name(target)} AS DOUBLE)"
+    present = "NOT {missing} AND " + y.replace("{", "{{").replace("}", "}}") + " IS NOT NULL"
+    x, paired = f"CASE WHEN {present} THEN CAST({{c}} AS DOUBLE) END", f"CASE WHEN {present} THEN {y} END"
+    # NULLIF keeps a constant column from dividing by zero in ANSI mode.
+    r = f"covar_pop({x}, {paired}) / nullif(stddev_pop({x}) * stddev_pop({paired}), 0D)"
     return _per_column(df, columns, {"r": r}).select(F.col("column").alias("feature"), "r")
 
 

@@ -10,6 +10,7 @@ import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidemark.functions import sqltext as sql
 from tidemark.operators.curves import precision_recall_f1
 
 logger = logging.getLogger(__name__)
@@ -49,8 +50,8 @@ def threshold_curve(
         F.sum("_p").alias("_pos"), F.sum("_n").alias("_neg"),
         F.collect_list(F.struct("_cell", "_p", "_n")).alias("_cells"),
     ).where(F.col("_pos").isNotNull())  # without rows there is no curve
-    steps = F.array(*[F.struct(F.lit(i + 1).alias("cell"), F.lit(t).alias("t")) for i, t in enumerate(values)])
-    expanded = groups.select(*by, "_pos", "_neg", "_cells", F.explode(steps).alias("_g"))
+    steps = sql.rows_of([f"named_struct('cell', {i + 1}, 't', {sql.number(t)})" for i, t in enumerate(values)])
+    expanded = groups.select(*by, "_pos", "_neg", "_cells", steps.alias("_g"))
 
     def flagged(field: str):
         reached = F.filter("_cells", lambda c: c["_cell"] >= F.col("_g.cell"))

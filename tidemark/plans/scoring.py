@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark import schema as S
-from tidemark.functions import scalars as X
+from tidemark.functions import scalars as X, sqltext as sql
 from tidemark.operators import contributions, validate
 from tidemark.operators.encoders import final_encoder
 from tidemark.plans.training import Bundle
@@ -27,7 +27,7 @@ def score(df: DataFrame, bundle: Bundle, top: int = 3) -> DataFrame:
     travel as broadcast arrays.
     """
     rows = encode(df, bundle)
-    features = F.array(*[F.col(f).cast("double") for f in bundle.features])
+    features = sql.double_array(bundle.features)
     chance, terms = bundle.columns(df.sparkSession)
     computed = rows.select(S.KEY, features.alias("_values"), chance.alias("_p"), terms.alias("_terms"))
     return computed.select(

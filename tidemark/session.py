@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def build_session(app: str = "tidemark", cores: str = "8", **conf: str) -> SparkSession:
@@ -19,6 +19,8 @@ def build_session(app: str = "tidemark", cores: str = "8", **conf: str) -> Spark
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Recording the Python call site of every expression makes wide plans slow to build.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in conf.items():
         builder = builder.config(name, value)
@@ -61,3 +63,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """:func:`written`, with the row count observed while writing."""
+    seen = Observation()
+    table = written(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return table, seen.get["n"]

@@ -5,10 +5,11 @@ from __future__ import annotations
 import posixpath
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
 from tidemark import schema as S
+from tidemark.functions import sqltext as sql
 
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _INTEGER = r"^[+-]?\d{1,18}$"
@@ -25,24 +26,27 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     names = spark.read.option("header", True).csv(path).columns
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
     raw = spark.read.schema(text).option("header", True).csv(path)
-    clean = raw.select(*[F.when(~F.col(f"`{n}`").isin(*S.NA_TOKENS), F.col(f"`{n}`")).alias(n) for n in names])
+    tokens = ", ".join(map(sql.text, S.NA_TOKENS))
+    clean = raw.select(*[
+        F.expr(f"CASE WHEN {sql.name(n)} NOT IN ({tokens}) THEN {sql.name(n)} END AS {sql.name(n)}") for n in names
+    ])
     if schema is not None:
         wanted = {f.name: f.dataType for f in schema}
         return clean.select(
             *[F.col(f"`{n}`").try_cast(wanted[n]).alias(n) if n in wanted else F.col(f"`{n}`") for n in names]
         )
     types = _column_types(clean)
-    return clean.select(*[F.col(f"`{n}`").try_cast(types[n]).alias(n) for n in names])
+    return clean.select(*[F.expr(f"try_cast({sql.name(n)} AS {types[n]}) AS {sql.name(n)}") for n in names])
 
 
 def _column_types(clean: DataFrame) -> dict[str, str]:
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, name in enumerate(clean.columns):
-        column = F.col(f"`{name}`")
+        column = sql.name(name)
         aggs += [
-            F.count(column).alias(f"n{i}"),
-            F.count_if(column.rlike(_NUMBER)).alias(f"d{i}"),
-            F.count_if(column.rlike(_INTEGER)).alias(f"i{i}"),
+            F.expr(f"count({column}) AS n{i}"),
+            F.expr(f"count_if({column} RLIKE {sql.text(_NUMBER)}) AS d{i}"),
+            F.expr(f"count_if({column} RLIKE {sql.text(_INTEGER)}) AS i{i}"),
         ]
     row = clean.agg(*aggs).first()
     types = {}
@@ -162,8 +166,15 @@ class VersionedTable:
         return path
 
 
+def append_column(table: VersionedTable, name: str, column: Column) -> DataFrame:
+    """Replace a column computed from the row itself: one projection, nothing is shuffled."""
+    fresh = table.read().drop(name).withColumn(name, column)
+    table.write(fresh, S.SPLIT if S.SPLIT in fresh.columns else None)
+    return table.read()
+
+
 def append_score(table: VersionedTable, scores: DataFrame, score: str = S.SCORE, key: str = S.KEY) -> DataFrame:
-    """Replace a table's score column: drop a stale one, add the new one, save a version."""
+    """Replace a table's score column by scores computed elsewhere, matched by key."""
     fresh = table.read().drop(score).join(scores.select(key, score), key, "left")
     partition = S.SPLIT if S.SPLIT in fresh.columns else None
     table.write(fresh, partition)
