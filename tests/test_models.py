@@ -125,6 +125,24 @@ def test_best_round_is_kept(rows, boosted):
     assert last[-1] == (boosted.rounds, pytest.approx(values[boosted.rounds], abs=1e-12))
 
 
+def test_a_longer_fit_repeats_the_earlier_trees(rows):
+    df, _ = rows
+    train, held = df.where("split = 'train'"), df.where("split = 'val'")
+    params = B.BoostParams(max_depth=3, min_rows_per_leaf=5, row_share=0.7, feature_share=0.7)
+    fit = lambda n: B.fit_boosted(train, held, COLUMNS, params, max_rounds=n, patience=n, first_rounds=n)
+    short, long = fit(3), fit(6)
+    assert [v for _, v in long.log[:3]] == pytest.approx([v for _, v in short.log], abs=1e-12)
+
+
+def test_rounds_are_ranked_in_parts_with_the_same_result(rows, boosted, monkeypatch):
+    df, _ = rows
+    held = df.where("split = 'val'")
+    whole = B.staged_auroc(held, boosted, S.LABEL)
+    monkeypatch.setattr(B, "STAGES_PER_JOB", 2)
+    assert B.staged_auroc(held, boosted, S.LABEL) == whole
+    assert B.staged_auroc(held, boosted, S.LABEL, after=1) == whole[1:]
+
+
 def test_patience():
     assert B.stop_round([(1, 0.5), (2, 0.7), (3, 0.6), (4, 0.6), (5, 0.9)], patience=2) == 2
     assert B.stop_round([(1, 0.5), (2, 0.7), (3, 0.6), (4, 0.9)], patience=2) == 4

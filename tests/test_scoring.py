@@ -78,6 +78,12 @@ def test_json_records_are_checked_and_scored(spark, model, tmp_path):
     # A template field that came as an extra is used.
     assert scoring.encode(records, model.bundle).where(f"{S.KEY} = 7").first()["V2"] == 0.25
     assert records.where(f"{S.KEY} = 7").first()["extras"] == {"V2": "0.25", "zzz": "kept"}
+    # The same records as a stream.
+    lines, out = spark.readStream.text(str(tmp_path)), fresh_path(spark, "json-out")
+    stream = files.parse_records(lines, T.StructType([T.StructField(S.KEY, T.LongType()), *known]))
+    jobs.finish(jobs.score_stream(stream, model.bundle, out, fresh_path(spark, "json-progress")), 300)
+    assert spark.read.parquet(f"{out}/scored").drop("batch").exceptAll(scored).count() == 0
+    assert spark.read.parquet(f"{out}/quarantine").first()["errors"] == [S.TIME, S.AMOUNT]
 
 
 def test_stream_scores_equal_batch_scores(spark, merged, model):
@@ -162,11 +168,17 @@ def test_every_report_has_its_tables(spark, merged, model):
         "test": reports.test_report(test, bundle.threshold, model.validation_f1),
         "rerun": reports.threshold_rerun(rows, bundle.threshold),
     }
-    assert len(made) == 15
+    made["cases"] = reports.explained_cases(rows, bundle.trees, 0.0, shown=4)
+    assert len(made) == 16
     may_be_empty = {("processed", "low_variance")}
     for name, report in made.items():
         for part, frame in report.items():
             assert frame.limit(1).count() == 1 or (name, part) in may_be_empty, (name, part)
+    cases = made["cases"]
+    assert cases["cases"].count() == 5 and cases["terms"].count() == 20
+    sums = cases["terms"].groupBy(S.KEY).agg(F.sum("contribution").alias("t")).join(cases["cases"], S.KEY)
+    gap = F.abs(F.col("t") + F.col("base") - F.log(F.col("probability") / (1 - F.col("probability"))))
+    assert sums.select(F.max(gap)).first()[0] < 1e-9
     # Test labels stay out of the anomaly report.
     assert {r[S.SPLIT] for r in made["anomaly"]["ranking"].collect()} == {"train", "val"}
     assert made["contributions"]["beeswarm"].select(S.KEY).distinct().count() == 8

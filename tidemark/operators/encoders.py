@@ -20,7 +20,7 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark import schema as S
-from tidemark.functions import scalars as X
+from tidemark.functions import scalars as X, sqltext as sql
 from tidemark.operators.joins import lookup
 from tidemark.operators.ordering import exact_quantiles
 from tidemark.operators.profile import missing_profile, numeric_columns, string_columns
@@ -330,13 +330,14 @@ class FinalEncoderModel(_TableModel):
         types = {f.name: f.dataType for f in df.schema}
         columns = [F.col(c) for c in S.PASSTHROUGH if c in df.columns]
         for name in self.learned("features"):
-            column = F.col(name)
+            column = sql.name(name)
             if name in flags:
-                column = X.flag_code(column)
+                columns.append(X.flag_code(F.col(name)).alias(name))
             elif name in fill:
-                value = F.when(~X.missing(column, types[name]), column.cast("double"))
-                column = F.coalesce(value, F.lit(float(fill[name])))
-            columns.append(column.alias(name))
+                held = f"CASE WHEN NOT {sql.is_missing(name, types[name])} THEN CAST({column} AS DOUBLE) END"
+                columns.append(F.expr(f"coalesce({held}, {sql.number(float(fill[name]))}) AS {column}"))
+            else:
+                columns.append(F.col(name))
         return df.select(*columns)
 
 

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark import schema as S
+from tidemark.functions import sqltext as sql
 from tidemark.operators.joins import merge_identity
 from tidemark.operators.profile import missing_profile
 
@@ -157,13 +158,14 @@ def align_columns(df: DataFrame, template: T.StructType, keep: Sequence[str] = (
     for field in template:
         if field.name in keep:
             continue
+        kind, target = field.dataType.simpleString(), sql.name(field.name)
         if field.name in names:
-            column = F.col(field.name).try_cast(field.dataType)
+            column = f"try_cast({target} AS {kind})"
         elif "extras" in names:
-            column = F.col("extras").getItem(field.name).try_cast(field.dataType)
+            column = f"try_cast(extras[{sql.text(field.name)}] AS {kind})"
         else:
-            column = F.lit(None).cast(field.dataType)
-        columns.append(column.alias(field.name))
+            column = f"CAST(NULL AS {kind})"
+        columns.append(F.expr(f"{column} AS {target}"))
     return df.select(*columns)
 
 

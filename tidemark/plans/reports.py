@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark import schema as S
-from tidemark.functions import scalars as X
+from tidemark.functions import scalars as X, sqltext as sql
 from tidemark.operators import boosting, contributions as C, curves as R, profile as P, thresholds as H
 from tidemark.operators.splitting import uniform_sample
 
@@ -176,6 +176,19 @@ def contribution_overview(
     return {"mean_abs": means, "beeswarm": long.join(F.broadcast(means.select("feature")), "feature", "left_semi")}
 
 
+def explained_cases(
+    test: DataFrame, trees: boosting.Ensemble, threshold: float, score: str = "probability", cases: int = 5, shown: int = 15
+) -> Report:
+    """The most confident true positives and their largest terms; only they are explained."""
+    top = R.true_positives(test, score, S.LABEL, threshold, S.KEY, cases)
+    terms, base = C.contributions_column(test.sparkSession, trees)
+    held = top.select(S.KEY, score, terms.alias("_t"), sql.double_array(trees.features).alias("_v"))
+    return {
+        "cases": held.select(S.KEY, score, F.lit(base).alias("base")),
+        "terms": C.case_terms(held, S.KEY, trees.features, "_t", "_v", shown),
+    }
+
+
 def test_report(test: DataFrame, threshold: float, validation_f1: float | None, score: str = "probability") -> Report:
     counts = R.confusion(test, score, S.LABEL, threshold)
     return {
