@@ -94,10 +94,13 @@ def test_lookup_without_broadcast_gives_the_same(spark, merged):
 def test_salted_lookup_gives_the_same(spark, merged, monkeypatch):
     from tidemark.operators import joins
 
-    model = E.TargetRateEncoder().fit(merged)
-    wanted = model.transform(merged)
+    wanted = E.TargetRateEncoder().fit(merged).transform(merged)
     monkeypatch.setattr(joins, "MAX_PLAIN_KEYS", 0)
+    monkeypatch.setattr(joins, "HOT_SHARE", 3)
+    model = E.TargetRateEncoder().fit(merged)
+    assert 1 <= len(model.hot("P_emaildomain")) <= 2 and E.TargetRateEncoderModel.hot(model, "none") == []
     salted = model.transform(merged)
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
     assert salted.columns == wanted.columns and salted.count() == wanted.count()
     assert salted.exceptAll(wanted).count() == 0
 

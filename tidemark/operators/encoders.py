@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from tidemark import schema as S
 from tidemark.functions import scalars as X, sqltext as sql
-from tidemark.operators.joins import lookup
+from tidemark.operators.joins import hot_keys, lookup
 from tidemark.operators.ordering import exact_quantiles
 from tidemark.operators.profile import missing_profile, numeric_columns, string_columns
 from tidemark.session import written, written_counted
@@ -92,6 +92,10 @@ class _TableModel(Model, _Stage, MLWritable):
     def load(cls, path):
         return cls.read().load(path)
 
+    def hot(self, column: str) -> list[str] | None:
+        """Hot keys of a column whose table is large; None when it is small."""
+        return None if self.learned("hot") is None else self.learned("hot").get(column, [])
+
     def entries(self, column: str) -> DataFrame:
         """The fitted ``key -> value`` rows of one column."""
         return self.table.where(F.col("column") == column).select("category", "value")
@@ -197,11 +201,12 @@ class TargetRateEncoder(Estimator, _Stage, DefaultParamsReadable, DefaultParamsW
                 model.table.where(F.col("column") == columns[0]).agg(F.sum("hits") / F.sum("n")).first()[0]
             )
         else:
-            prior, entries = df.agg(F.avg(F.col(label).cast("double"))).first()[0], 0
+            prior = df.agg(F.avg(F.col(label).cast("double"))).first()[0]
         return model._set(
             state={
                 "columns": columns, "all": self.getOrDefault("inputCols"), "prior": prior,
-                "smoothing": smoothing, "entries": entries, "has_table": bool(columns),
+                "smoothing": smoothing, "hot": hot_keys(model.table, entries) if columns else None,
+                "has_table": bool(columns),
             }
         )
 
@@ -219,8 +224,7 @@ class TargetRateEncoderModel(_TableModel):
                 continue
             if column in self.learned("columns"):
                 df = lookup(
-                    df, self.entries(column), column, "value", self.learned("prior"), f"{column}_risk",
-                    self.learned("entries"),
+                    df, self.entries(column), column, "value", self.learned("prior"), f"{column}_risk", self.hot(column)
                 )
             else:
                 df = df.withColumn(f"{column}_risk", F.lit(self.learned("prior")))
@@ -232,19 +236,20 @@ class TargetRateEncoderModel(_TableModel):
 
 
 def ordinal_codes(df: DataFrame, columns: Sequence[str], max_window: int = MAX_WINDOW_CATEGORIES) -> DataFrame:
-    """``(column, category, value)``: 0-based rank of each category in sorted order.
+    """``(column, category, value, n)``: 0-based rank of each category in sorted order, and its rows.
 
-    Categories are made distinct before they are ranked. A column with more of them
-    than one window should hold is ranked by a range-partitioned sort instead.
+    Categories are counted before they are ranked, one row each. A column with more of
+    them than one window should hold is ranked by a range-partitioned sort instead.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("category")) for c in columns])
     distinct = (
-        df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("category").isNotNull()).distinct()
+        df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("category").isNotNull())
+        .groupBy("column", "category").agg(F.count(F.lit(1)).alias("n"))
     )
     distinct, entries = written_counted(distinct, "categories")
     if entries <= max_window:
         rank = F.row_number().over(Window.partitionBy("column").orderBy("category")) - 1
-        return distinct.select("column", "category", rank.cast("int").alias("value"))
+        return distinct.select("column", "category", rank.cast("int").alias("value"), "n")
     return _sorted_codes(distinct)
 
 
@@ -256,19 +261,19 @@ def _sorted_codes(distinct: DataFrame) -> DataFrame:
     """
     placed = written(
         distinct.orderBy("column", "category").select(
-            "column", "category",
+            "column", "category", "n",
             F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place"),
         ),
         "sorted",
     )
     # A row per (sort partition, column).
-    runs = placed.groupBy("column", "part").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("start"))
+    runs = placed.groupBy("column", "part").agg(F.count(F.lit(1)).alias("size"), F.min("place").alias("start"))
     before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = runs.select(
-        "column", "part", "start", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
+        "column", "part", "start", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset")
     )
     return placed.join(offsets, ["column", "part"]).select(
-        "column", "category", (F.col("offset") + F.col("place") - F.col("start")).cast("int").alias("value")
+        "column", "category", (F.col("offset") + F.col("place") - F.col("start")).cast("int").alias("value"), "n"
     )
 
 
@@ -298,14 +303,15 @@ class FinalEncoder(Estimator, _Stage, DefaultParamsReadable, DefaultParamsWritab
         if empty:
             raise ValueError(f"no training value to take a median of: {empty}")
         model = FinalEncoderModel()
-        entries = 0
+        hot = None
         if tri + categories:
             model.table, entries = written_counted(ordinal_codes(df, tri + categories), "codes")
+            hot = hot_keys(model.table, entries)
         return model._set(
             state={
                 "flags": flags, "tri": tri, "categories": categories, "numbers": numbers, "fill": fill,
                 "features": [c for c in features if c in {*flags, *tri, *categories, *numbers}],
-                "entries": entries, "has_table": bool(tri + categories),
+                "hot": hot, "has_table": bool(tri + categories),
             }
         )
 
@@ -324,7 +330,7 @@ class FinalEncoderModel(_TableModel):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         for column in self.learned("tri") + self.learned("categories"):
-            coded = lookup(df, self.entries(column), column, "value", -1, "_code", self.learned("entries"))
+            coded = lookup(df, self.entries(column), column, "value", -1, "_code", self.hot(column))
             df = coded.drop(column).withColumnRenamed("_code", column)
         flags, fill = set(self.learned("flags")), self.learned("fill")
         types = {f.name: f.dataType for f in df.schema}

@@ -28,28 +28,49 @@ def identity_coverage(transactions: DataFrame, identity: DataFrame, key: str = S
     )
 
 
-# A lookup table with more keys than this is joined with salted keys.
+# A lookup table with more keys than this is expected to be shuffled, not broadcast.
 MAX_PLAIN_KEYS = 500_000
-SALTS = 32
+# A key is hot when more than one row in this many has it; its rows go to this many tasks.
+HOT_SHARE, SALTS = 1_000, 64
+
+
+def hot_keys(table: DataFrame, entries: int) -> dict[str, list[str]] | None:
+    """Hot categories per column of a ``(column, category, n, …)`` table; None for a small one.
+
+    At most ``HOT_SHARE`` per column, as their shares add up to one.
+    """
+    if entries <= MAX_PLAIN_KEYS:
+        return None
+    totals = table.groupBy("column").agg(F.sum("n").alias("all")).collect()  # a row per column
+    is_hot = F.lit(False)
+    for row in totals:
+        is_hot = is_hot | ((F.col("column") == row["column"]) & (F.col("n") * HOT_SHARE > row["all"]))
+    hot: dict[str, list[str]] = {row["column"]: [] for row in totals}
+    for row in table.where(is_hot & F.col("category").isNotNull()).select("column", "category").collect():
+        hot[row["column"]].append(row["category"])
+    return hot
 
 
 def lookup(
-    df: DataFrame, table: DataFrame, column: str, value: str, default, target: str, keys: int = 0,
-    key: str = S.KEY,
+    df: DataFrame, table: DataFrame, column: str, value: str, default, target: str,
+    hot: list[str] | None = None, key: str = S.KEY,
 ) -> DataFrame:
     """``table[column] -> value`` with a default for unseen and missing keys.
 
     ``table`` has unique keys and comes from storage, so its size is known and the
-    planner broadcasts a small one. One with many ``keys`` will be shuffled: rows of a
-    hot (or missing) key are then spread over several tasks by a salt from their own
-    key, and the table carries a copy of each entry per salt.
+    planner broadcasts a small one. For a large one ``hot`` lists its hot keys: their
+    rows, and those without a key, are spread over tasks by a salt from their own row
+    key, and only the hot entries are copied once per salt.
     """
     side = table.select(F.col(table.columns[0]).alias(column), F.col(value).alias("_value"))
     on = [column]
-    if keys > MAX_PLAIN_KEYS:
+    if hot is not None:
         own = [key] if key in df.columns else df.columns
-        df = df.withColumn("_salt", F.pmod(F.xxhash64(*own), F.lit(SALTS)).cast("int"))
-        side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.pmod(F.xxhash64(*own), F.lit(SALTS)).cast("int")
+        spread = F.col(column).isNull() | F.col(column).isin(hot)
+        df = df.withColumn("_salt", F.when(spread, salt).otherwise(F.lit(0)))
+        copies = F.when(F.col(column).isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        side = side.withColumn("_salt", F.explode(copies))
         on.append("_salt")
     return (
         df.join(side, on, "left")
