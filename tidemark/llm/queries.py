@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from tidemark.llm.byte_bpe import op8_byte_bpe
+from tidemark.llm.language_id import op2_language_id
 from tidemark.llm.quality_rules import OP3_SQL, op3_quality_rules
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLES = {
