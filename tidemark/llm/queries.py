@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from tidemark.llm.byte_bpe import op8_byte_bpe
 from tidemark.llm.language_id import op2_language_id
+from tidemark.llm.near_dups import op1_dart_minhash
 from tidemark.llm.quality_rules import OP3_SQL, op3_quality_rules
+from tidemark.llm.token_counts import op5_token_counts
 
 QUERIES = {
+    "op1_dart_minhash": op1_dart_minhash,
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
+    "op5_token_counts": op5_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
