@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.byte_bpe import op8_byte_bpe
+from tidemark.llm.decontaminate import op6_decontamination
 from tidemark.llm.language_id import op2_language_id
 from tidemark.llm.near_dups import op1_dart_minhash
 from tidemark.llm.quality_rules import OP3_SQL, op3_quality_rules
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op5_token_counts": op5_token_counts,
+    "op6_decontamination": op6_decontamination,
     "op8_byte_bpe": op8_byte_bpe,
 }
 

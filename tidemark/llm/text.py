@@ -14,6 +14,11 @@ SLICE_BYTES = 4 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
+# Plain words are runs of ASCII letters and digits and of other characters, in lower case.
+_PLAIN = np.array([chr(i).isalnum() or i > 127 for i in range(256)])
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _draw = random.Random(20_240_607)
 _BYTE_VALUES = np.array([_draw.getrandbits(64) for _ in range(256)], np.uint64)
@@ -71,13 +76,18 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every word: text number, first byte, byte after the last, 64-bit hash of its bytes."""
+def words(data: np.ndarray, offsets: np.ndarray, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every word: text number, first byte, byte after the last, 64-bit hash of its bytes.
+
+    A word is what stands between white space; with ``plain`` it is rid of ASCII signs and capitals.
+    """
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return none, none, none, np.zeros(0, np.uint64)
-    solid = ~_SPACE[data]
+    solid = _PLAIN[data] if plain else ~_SPACE[data]
+    if plain:
+        data = _LOWER[data]
     edge = np.ones(n + 1, bool)
     edge[1:n] = ~solid[:-1]
     edge[offsets[offsets < n]] = True
