@@ -7,6 +7,7 @@ from tidemark.llm.decontaminate import op6_decontamination
 from tidemark.llm.language_id import op2_language_id
 from tidemark.llm.near_dups import op1_dart_minhash
 from tidemark.llm.quality_rules import OP3_SQL, op3_quality_rules
+from tidemark.llm.repeats import op10_suffix_dedup
 from tidemark.llm.token_counts import op5_token_counts
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_decontamination": op6_decontamination,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES = {
