@@ -6,6 +6,7 @@ from tidemark.llm.byte_bpe import op8_byte_bpe
 from tidemark.llm.decontaminate import op6_decontamination
 from tidemark.llm.language_id import op2_language_id
 from tidemark.llm.near_dups import op1_dart_minhash
+from tidemark.llm.passages import op4_substring_dedup
 from tidemark.llm.quality_rules import OP3_SQL, op3_quality_rules
 from tidemark.llm.repeats import op10_suffix_dedup
 from tidemark.llm.token_counts import op5_token_counts
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_decontamination": op6_decontamination,
     "op8_byte_bpe": op8_byte_bpe,
