@@ -7,6 +7,7 @@ from tidemark.llm.decontaminate import op6_decontamination
 from tidemark.llm.language_id import op2_language_id
 from tidemark.llm.near_dups import op1_dart_minhash
 from tidemark.llm.passages import op4_substring_dedup
+from tidemark.llm.pii import op9_pii
 from tidemark.llm.quality_classifier import op7_quality_classifier
 from tidemark.llm.quality_rules import OP3_SQL, op3_quality_rules
 from tidemark.llm.repeats import op10_suffix_dedup
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_pii": op9_pii,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
