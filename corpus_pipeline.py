@@ -2,11 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm import byte_bpe, decontaminate, language_id, near_dups, pii
 from tidemark.session import written
 
-STAGES: list = []
+
+def language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: those without a letter are rejected; a missing ``lang`` is filled in."""
+    found = language_id.identify(docs, language_id.fit(docs)).where(F.col("lang_pred") != language_id.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return near_dups.one_of_each(docs).select(*docs.columns)
+
+
+def decontamination(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a verified test item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.annotate(docs, items).where(F.size("leaks") == 0).select(*docs.columns)
+
+
+def personal_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by their kind; ``n_chars`` follows the text."""
+    redacted = pii.redact(docs, pii.fit(docs))
+    kind = docs.schema["n_chars"].dataType
+    return redacted.withColumn("n_chars", F.length("text").cast(kind)).select(*docs.columns)
+
+
+def tokens(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their ids (packed little-endian, 32 bits) and the text decoded from these."""
+    coded = byte_bpe.round_trip(docs.select("doc_id", "lang", "source", "n_chars", "text"))
+    return coded.select(
+        "doc_id", F.col("decoded").cast("string").alias("text"), "lang", "source", "n_chars",
+        F.expr("bigint(length(ids) / 4)").alias("n_tokens"), "ids",
+    )
+
+
+STAGES = [
+    ("language ID", language),
+    ("MinHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("PII", personal_data),
+    ("byte-level BPE", tokens),
+]
 
 # The stages hold learned models, similarity classes and byte-level merges: no SQL says them.
 ORACLE_SQL = None

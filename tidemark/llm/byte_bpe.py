@@ -17,9 +17,9 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
-from tidemark.llm.text import slices
+from tidemark.llm.text import extended, slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 # Words whose ids a worker remembers; then it forgets them all and goes on.
@@ -229,6 +229,18 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, bytes binary")
 
 
+def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """``docs`` with ``ids`` of each text, packed, and ``decoded``, the bytes of those ids; nulls are empty."""
+    path = vocabulary or public_tokenizers.path(VOCABULARY)
+
+    def make(texts):
+        own = codec(path)
+        ids = own.encode(texts.to_pylist())
+        return [pa.array(ids, pa.binary()), pa.array(own.decode(ids), pa.binary())]
+
+    return extended(docs, make, [T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())], SLICE_BYTES)
+
+
 def op8_byte_bpe(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return decode(encode(docs)).selectExpr(

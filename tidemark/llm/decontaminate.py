@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.text import mix, slices, text_buffer, words
+from tidemark.llm.text import extended, mix, slices, text_buffer, words
 
 PASSAGE, STRIDE = 128, 64
 THRESHOLD = 0.6
@@ -227,37 +227,28 @@ def annotate(docs: DataFrame, items: DataFrame, column: str = "leaks", threshold
     word. Repeated documents are each searched; repeated items are each reported. All columns
     of ``docs`` are kept; one named like ``column`` raises.
     """
-    if column in docs.columns:
-        raise ValueError(f"{column} is a column of the documents")
     context = docs.sparkSession.sparkContext
-    item_type = items.schema["item_id"].dataType
-    leak = T.ArrayType(T.StructType([
-        T.StructField("item_id", item_type), T.StructField("score", T.DoubleType()),
+    leak = T.StructType([
+        T.StructField("item_id", items.schema["item_id"].dataType), T.StructField("score", T.DoubleType()),
         T.StructField("question_overlap", T.DoubleType()), T.StructField("answer_overlap", T.DoubleType()),
-    ]))
+    ])
+    kind = to_arrow_type(T.ArrayType(leak))
+    parts = []
     for index in build_indexes(items):
         shared = context.broadcast(index)  # bounded by INDEX_WORDS
-        has = column in docs.columns
-        text = docs.columns.index("text")
-        schema = T.StructType([*[f for f in docs.schema if f.name != column], T.StructField(column, leak)])
 
-        def run(batches, shared=shared, has=has, text=text):
+        def make(texts, shared=shared):
             own = shared.value
-            for part in slices(batches, text):
-                data, offsets = text_buffer(part.column(text))
-                leaks = [
-                    [{"item_id": own.ids[i], "score": s, "question_overlap": q, "answer_overlap": a} for i, (s, q, a) in sorted(hits.items())]
-                    for hits in leaks_of(own, data, offsets, threshold)
-                ]
-                columns = list(part.columns)
-                if has:
-                    leaks = [a + b for a, b in zip(columns.pop().to_pylist(), leaks)]
-                columns[text] = columns[text].cast(pa.string())
-                columns.append(pa.array(leaks, to_arrow_type(leak)))
-                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[: len(columns) - 1], column])
-
-        docs = docs.mapInArrow(run, schema)
-    return docs
+            found = leaks_of(own, *text_buffer(texts), threshold)
+            return [pa.array(
+                [[{"item_id": own.ids[i], "score": s, "question_overlap": q, "answer_overlap": a} for i, (s, q, a) in sorted(hits.items())] for hits in found],
+                kind,
+            )]
+
+        name = column if not parts else f"{column}_{len(parts)}"
+        docs = extended(docs, make, [T.StructField(name, T.ArrayType(leak))])
+        parts.append(name)
+    return docs.withColumn(column, F.concat(*parts)).drop(*parts[1:])
 
 
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -12,9 +12,9 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.llm.text import slices
+from tidemark.llm.text import extended
 
 # Labelled characters per language that are learned: the bound of the training sample.
 SAMPLE_CHARS = 50_000
@@ -164,26 +164,23 @@ def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> Model:
     return Model(samples, sample_chars)
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every whole text; only the text is read.
+def identify(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` of every whole text; only the text is read.
 
     A null, empty or letterless text is ``und`` with score 0, as is every text when nothing was
-    learned. Ties go to the language first in the alphabet. Repeated rows are judged alike,
-    extra columns are ignored, an empty table gives no rows.
+    learned. Ties go to the language first in the alphabet. Repeated rows are judged alike, other
+    columns are kept as they are (those two names are taken), an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by languages x sample_chars
 
-    def run(batches):
-        own = shared.value
-        for part in slices(batches):
-            names, score = own.predict(part.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names), pa.array(score)], names=["doc_id", "lang_pred", "score"])
+    def make(texts):
+        names, score = shared.value.predict(texts.to_pylist())
+        return [pa.array(names, pa.string()), pa.array(score)]
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return extended(docs, make, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
 def op2_language_id(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = fit(docs.where(~held_out(F.col("doc_id"))))
-    return predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

@@ -197,5 +197,15 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     return classed.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The row of each class whose id is the class's, with all its columns; of repeated ids one row.
+
+    Rows without ``doc_id`` stay.
+    """
+    kept = near_duplicates(docs, similarity).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL"))
+
+
 def op1_dart_minhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.text import slices
+from tidemark.llm.text import extended
 
 KINDS = ("email", "ip", "card", "phone")
 # Texts of the training sample, and windows made of them.
@@ -386,30 +386,24 @@ def find_spans(docs: DataFrame, net: Network | None, column: str = "spans") -> D
     Null and empty texts have none. With no network only the patterns are applied. Repeated rows
     get the same spans; other columns are kept; one named like ``column`` raises.
     """
-    if column in docs.columns:
-        raise ValueError(f"{column} is a column of the documents")
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    place = docs.columns.index("text")
     kinds = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
 
-    def run(batches):
+    def make(column_of_texts):
         own = shared.value
-        for part in slices(batches, place):
-            texts = part.column(place).to_pylist()
-            tags = tag_texts(own, texts) if own is not None else [np.zeros(0, np.uint8)] * len(texts)
-            rows = []
-            for text, tag in zip(texts, tags):
-                base = base_spans(text)
-                both = [(*s, True) for s in base] + [(*s, False) for s in added_spans(text, tag, base)]
-                rows.append([{"kind": KINDS[k], "start": a, "end": b, "base": c} for k, a, b, c in sorted(both)])
-            columns = list(part.columns)
-            columns[place] = columns[place].cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, kinds)], names=[*part.schema.names, column])
+        texts = column_of_texts.to_pylist()
+        tags = tag_texts(own, texts) if own is not None else [np.zeros(0, np.uint8)] * len(texts)
+        rows = []
+        for text, tag in zip(texts, tags):
+            base = base_spans(text)
+            both = [(*s, True) for s in base] + [(*s, False) for s in added_spans(text, tag, base)]
+            rows.append([{"kind": KINDS[k], "start": a, "end": b, "base": c} for k, a, b, c in sorted(both)])
+        return [pa.array(rows, kinds)]
 
     span = T.ArrayType(T.StructType([
         T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("base", T.BooleanType()),
     ]))
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, span)]))
+    return extended(docs, make, [T.StructField(column, span)])
 
 
 def redact(docs: DataFrame, net: Network | None) -> DataFrame:

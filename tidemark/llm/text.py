@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, types as T
 
 SLICE_BYTES = 4 << 20
 
@@ -55,6 +56,30 @@ def slices(batches, column: int = 1, limit: int = SLICE_BYTES) -> Iterator[pa.Re
             start = end
 
 
+def extended(docs: DataFrame, make: Callable[[pa.Array], list[pa.Array]], fields: list[T.StructField], limit: int = SLICE_BYTES) -> DataFrame:
+    """``docs`` with the columns that ``make`` has for a slice of texts (nulls read as empty there).
+
+    All columns stay as they are; a new one of the same name as another, in any case, raises.
+    """
+    taken = {name.lower() for name in docs.columns}
+    for field in fields:
+        if field.name.lower() in taken:
+            raise ValueError(f"{field.name} is a column of the documents")
+    place = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            start = 0
+            for part in slices([batch], place, limit):
+                old = batch.slice(start, part.num_rows)
+                start += part.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [*old.columns, *make(part.column(place))], names=[*batch.schema.names, *(field.name for field in fields)]
+                )
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
+
+
 def text_buffer(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts of a large_string array, and where each begins and the last ends."""
     _, ends, data = text.buffers()
