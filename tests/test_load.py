@@ -121,7 +121,7 @@ def test_split_read_prunes_other_splits(spark):
 def test_settings_fall_back_to_defaults(tmp_path):
     nested = {"split": {"test_size": 0.1}, "models": {"optuna": {"n_trials": 100}, "isolation_forest": None}}
     settings = Settings.from_mapping(nested)
-    assert (settings.test_size, settings.val_size, settings.search_trials, settings.forest_trees) == (0.1, 0.15, 50, 200)
+    assert (settings.test_size, settings.val_size, settings.search_trials, settings.forest_trees) == (0.1, 0.15, 100, 200)
     path = tmp_path / "s.yaml"
     path.write_text('{"features": {"missing_threshold": 0.5}}')
     assert load_settings(str(path)).missing_threshold == 0.5
@@ -141,3 +141,24 @@ def test_row_rules_name_the_field(spark):
     }
     no_amount = V.check_rows(df.drop(S.AMOUNT))
     assert all(S.AMOUNT in r["errors"] for r in no_amount.collect())
+
+
+def test_quotes_and_long_keys_are_read_whole(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('TransactionID,note,n\n1234567890123456789,"a ""b"", c",1\n1234567890123456788,x,2\n')
+    rows = {r[S.KEY]: r["note"] for r in files.read_csv(spark, str(tmp_path)).collect()}
+    assert rows == {1234567890123456789: 'a "b", c', 1234567890123456788: "x"}
+
+
+def test_key_beyond_bigint_is_text(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("TransactionID,n\n99999999999999999999,1\n99999999999999999998,2\n")
+    assert files.read_csv(spark, str(tmp_path)).select(S.KEY).distinct().count() == 2
+
+
+def test_histogram_keeps_rows_without_a_group(spark):
+    from tidemark.operators.profile import histogram
+
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 3.0), (None, 5.0), ("b", 4.0)], "g string, x double")
+    rows = histogram(df, "x", 2, ["g"])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Aggregate") == 1
+    assert sum(r["n_rows"] for r in rows.collect()) == 5

@@ -75,6 +75,7 @@ def test_json_records_are_checked_and_scored(spark, model, tmp_path):
     scored, held = scoring.score_checked(records, model.bundle)
     assert [r[S.KEY] for r in scored.collect()] == [7]
     assert [(r[S.KEY], r["errors"]) for r in held.collect()] == [(8, [S.TIME, S.AMOUNT])]
+    assert records.where(f"{S.KEY} = 8").first()["misfits"] == [S.TIME]
     # A template field that came as an extra is used.
     assert scoring.encode(records, model.bundle).where(f"{S.KEY} = 7").first()["V2"] == 0.25
     assert records.where(f"{S.KEY} = 7").first()["extras"] == {"V2": "0.25", "zzz": "kept"}

@@ -310,7 +310,8 @@ def search_params(
     """Random search by validation AUROC on an exact stratified sample of the training rows.
 
     Trials share one written sample and run side by side; each is itself a set of
-    Spark jobs. Returns the trial log ``(trial, params, value)`` and the best parameters.
+    Spark jobs. Returns the trial log ``(trial, params, value, state, sample_rows)``, in which
+    trials that the timeout kept from starting are ``skipped``, and the best parameters.
     """
     spark = train.sparkSession
     weight = positive_class_weight(train, label).first()["weight"]
@@ -329,10 +330,12 @@ def search_params(
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         values = list(pool.map(run, drawn))
     finished = [(i, p, v) for i, (p, v) in enumerate(zip(drawn, values)) if v is not None]
+    n_rows = sample.count()
     if not finished:
         raise RuntimeError("no search trial finished")
     rows = [
-        (i, {name: float(getattr(p, name)) for name in SEARCH_SPACE}, float(v)) for i, p, v in finished
+        (i, {name: float(getattr(p, name)) for name in SEARCH_SPACE}, v, "skipped" if v is None else "done", n_rows)
+        for i, (p, v) in enumerate(zip(drawn, values))
     ]
-    log = spark.createDataFrame(rows, "trial int, params map<string,double>, value double")
+    log = spark.createDataFrame(rows, "trial int, params map<string,double>, value double, state string, sample_rows bigint")
     return log, max(finished, key=lambda entry: (entry[2], -entry[0]))[1]

@@ -6,6 +6,7 @@ ensemble's expected value equal its log-odds.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Sequence
 from typing import Iterator
@@ -17,10 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidemark.functions import scalars as X, sqltext as sql
 from tidemark.operators.boosting import Ensemble, TreeArrays, feature_struct
 
-# Table cells a task keeps between batches; larger ensembles rebuild them per batch.
-_TABLE_CELLS = 20_000_000
-
-
 class _Leaf:
     """One root-to-leaf path, its repeated features merged into one interval each."""
 
@@ -38,30 +35,30 @@ class _Leaf:
         self.low, self.high, self.share = (np.array([e[k] for e in merged.values()]) for k in range(3))
         self.value = value
 
-    def table(self) -> np.ndarray:
-        """Terms for every pattern of satisfied conditions: ``2 ** m`` rows, ``m`` columns.
+    def terms(self, values: np.ndarray) -> np.ndarray:
+        """Shapley terms of every row: rows x features of the path.
 
-        A path's Shapley terms depend on a row only through which of its ``m``
-        conditions hold, so they can be tabulated once.
+        The weight of k present features among m is the integral of
+        ``x ** k * (1 - x) ** (m - 1 - k)``, so a term is the integral of a product of
+        linear factors, one per other feature. Gauss-Legendre nodes, half as many as
+        features, integrate that polynomial exactly: the work grows with m squared and
+        nothing is tabulated.
         """
-        m = len(self.features)
-        holds = (np.arange(2**m)[:, None] >> np.arange(m)) & 1
-        weight = [math.factorial(k) * math.factorial(m - 1 - k) / math.factorial(m) for k in range(m)]
-        terms = np.empty((2**m, m))
-        for j in range(m):
-            # Coefficients of prod_{i != j} (share_i + holds_i x): x counts present features.
-            poly = np.zeros((2**m, m))
-            poly[:, 0] = 1.0
-            for i in range(m):
-                if i != j:
-                    shifted = np.concatenate([np.zeros((2**m, 1)), poly[:, :-1]], axis=1)
-                    poly = poly * self.share[i] + shifted * holds[:, i : i + 1]
-            terms[:, j] = self.value * (holds[:, j] - self.share[j]) * (poly @ weight)
-        return terms
+        held = values[:, self.features]
+        holds = ((held > self.low) & (held <= self.high)).astype(float)
+        nodes, weights = _legendre((len(self.features) + 1) // 2)
+        total = np.zeros_like(holds)
+        for x, w in zip(nodes, weights):
+            factors = self.share * (1 - x) + holds * x  # positive, as shares and x are inside (0, 1)
+            total += w * factors.prod(axis=1, keepdims=True) / factors
+        return self.value * (holds - self.share) * total
 
-    def pattern(self, values: np.ndarray) -> np.ndarray:
-        columns = values[:, self.features]
-        return ((columns > self.low) & (columns <= self.high)) @ (1 << np.arange(len(self.features)))
+
+@functools.cache
+def _legendre(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and weights on (0, 1)."""
+    x, w = np.polynomial.legendre.leggauss(n)
+    return (x + 1) / 2, w / 2
 
 
 class Explainer:
@@ -85,20 +82,11 @@ class Explainer:
                 left, right = int(arrays.left[at]), int(arrays.right[at])
                 stack.append((left, path + [(feature, -math.inf, cut, arrays.cover[left] / arrays.cover[at])]))
                 stack.append((right, path + [(feature, cut, math.inf, arrays.cover[right] / arrays.cover[at])]))
-        cells = sum(len(leaf.features) << len(leaf.features) for leaf in self.leaves)
-        self.keep_tables = cells <= _TABLE_CELLS
-        self._tables: list[np.ndarray] | None = None
-
-    def __getstate__(self):
-        return {**self.__dict__, "_tables": None}
 
     def explain(self, values: np.ndarray) -> np.ndarray:
-        if self.keep_tables and self._tables is None:
-            self._tables = [leaf.table() for leaf in self.leaves]
         terms = np.zeros((len(values), self.width))
-        for i, leaf in enumerate(self.leaves):
-            table = self._tables[i] if self.keep_tables else leaf.table()
-            terms[:, leaf.features] += table[leaf.pattern(values)]
+        for leaf in self.leaves:
+            terms[:, leaf.features] += leaf.terms(values)
         return terms
 
 

@@ -193,6 +193,7 @@ def topn_flagging(
     df: DataFrame, score: str, label: str, by: Sequence[str] = (), percents: Sequence[int] = FLAG_PERCENTS
 ) -> DataFrame:
     """Flag scores at or above the (100 - pct) percentile; recall, precision, F1, lift."""
+    df = df.where(F.col(label).isNotNull())
     cuts = _group_cuts(df, score, [1 - p / 100 for p in percents], by)
     positive = F.col(label) == 1
     aggs = [F.count(score).alias("n"), F.count_if(positive & F.col(score).isNotNull()).alias("p")]

@@ -24,10 +24,8 @@ from tidemark.functions import scalars as X, sqltext as sql
 from tidemark.operators.joins import hot_keys, lookup
 from tidemark.operators.ordering import exact_quantiles
 from tidemark.operators.profile import missing_profile, numeric_columns, string_columns
-from tidemark.session import written, written_counted
+from tidemark.session import written
 
-# More categories than this in one column are ranked by a distributed sort.
-MAX_WINDOW_CATEGORIES = 2_000_000
 
 
 def feature_columns(df: DataFrame) -> list[str]:
@@ -195,7 +193,7 @@ class TargetRateEncoder(Estimator, _Stage, DefaultParamsReadable, DefaultParamsW
         columns = [c for c in self.getOrDefault("inputCols") if c in df.columns]
         model = TargetRateEncoderModel()
         if columns:
-            model.table, entries = written_counted(category_sums(df, columns, label), "rates")
+            model.table = written(category_sums(df, columns, label), "rates")
             # Any one column's categories, the missing one included, cover all rows.
             prior = (
                 model.table.where(F.col("column") == columns[0]).agg(F.sum("hits") / F.sum("n")).first()[0]
@@ -205,7 +203,7 @@ class TargetRateEncoder(Estimator, _Stage, DefaultParamsReadable, DefaultParamsW
         return model._set(
             state={
                 "columns": columns, "all": self.getOrDefault("inputCols"), "prior": prior,
-                "smoothing": smoothing, "hot": hot_keys(model.table, entries) if columns else None,
+                "smoothing": smoothing, "hot": hot_keys(model.table) if columns else None,
                 "has_table": bool(columns),
             }
         )
@@ -235,30 +233,19 @@ class TargetRateEncoderModel(_TableModel):
 # ------------------------------------------------------------------------ final encoding
 
 
-def ordinal_codes(df: DataFrame, columns: Sequence[str], max_window: int = MAX_WINDOW_CATEGORIES) -> DataFrame:
+def ordinal_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, category, value, n)``: 0-based rank of each category in sorted order, and its rows.
 
-    Categories are counted before they are ranked, one row each. A column with more of
-    them than one window should hold is ranked by a range-partitioned sort instead.
+    Categories are counted before they are ranked, one row each, and ranked by a
+    range-partitioned sort, so that no task has to hold a column's categories.
+    The sorted table is written first, so every row's place in it is fixed even when
+    a task is retried.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("category")) for c in columns])
     distinct = (
         df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("category").isNotNull())
         .groupBy("column", "category").agg(F.count(F.lit(1)).alias("n"))
     )
-    distinct, entries = written_counted(distinct, "categories")
-    if entries <= max_window:
-        rank = F.row_number().over(Window.partitionBy("column").orderBy("category")) - 1
-        return distinct.select("column", "category", rank.cast("int").alias("value"), "n")
-    return _sorted_codes(distinct)
-
-
-def _sorted_codes(distinct: DataFrame) -> DataFrame:
-    """Rank within column without a window over the categories.
-
-    The sorted table is written first, so every row's place in it is fixed even when
-    a task is retried.
-    """
     placed = written(
         distinct.orderBy("column", "category").select(
             "column", "category", "n",
@@ -305,8 +292,8 @@ class FinalEncoder(Estimator, _Stage, DefaultParamsReadable, DefaultParamsWritab
         model = FinalEncoderModel()
         hot = None
         if tri + categories:
-            model.table, entries = written_counted(ordinal_codes(df, tri + categories), "codes")
-            hot = hot_keys(model.table, entries)
+            model.table = written(ordinal_codes(df, tri + categories), "codes")
+            hot = hot_keys(model.table)
         return model._set(
             state={
                 "flags": flags, "tri": tri, "categories": categories, "numbers": numbers, "fill": fill,

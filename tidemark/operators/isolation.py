@@ -47,28 +47,30 @@ def average_path(n):
 def tree_samples(df: DataFrame, key: str, columns: Sequence[str], trees: int, sample: int, seed: int, rows: int) -> DataFrame:
     """``(tree, columns…)`` with exactly ``min(sample, rows)`` distinct rows per tree.
 
-    Each row draws the trees it enters by hashing its key, half again as many as
-    needed, and every tree keeps its smallest hashes. The draw is repeatable, and the
-    shuffle carries about 1.5 x trees x sample rows, whatever the table's size.
+    Every row has an order per tree, a hash of its key and the tree, and a tree keeps its
+    smallest ones, whatever the table's size. Only rows below a limit are shuffled: it is
+    set so that more than enough are expected, and raised if a tree got too few.
     """
     size = min(sample, rows)
     key_col = F.col(key)
-    if rows <= 16 * sample:
-        drawn = df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    else:
-        expected = 1.5 * trees * size / rows
-        draws = math.ceil(expected)
-        keep = int(expected / draws * _HASH_RANGE)
-        tickets = F.array_distinct(F.array_compact(F.array(*[
-            F.when(
-                portable_hash(key_col, seed + 2 * j + 1) < keep,
-                F.pmod(portable_hash(key_col, seed + 2 * j + 2), F.lit(trees)).cast("int"),
-            )
-            for j in range(draws)
-        ])))
-        drawn = df.withColumn("tree", F.explode(tickets))
-    order = portable_hash(key_col, F.col("tree") + F.lit(seed + 1_000_003))
-    # About 1.5 x sample rows per tree: bounded by the parameters.
+    share = (size + 10 * math.sqrt(size) + 20) / max(rows, 1)
+
+    def order_in(tree: Column) -> Column:
+        return portable_hash(key_col, tree + F.lit(seed + 1_000_003))
+
+    while True:
+        limit = F.lit(int(min(share, 1.0) * _HASH_RANGE))
+        tickets = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: order_in(tree) < limit)
+        if share >= 1:
+            break
+        entered = df.select(F.explode(tickets).alias("tree")).groupBy("tree").count()
+        least = entered.agg(F.min("count"), F.count(F.lit(1))).first()
+        if least[1] == trees and least[0] >= size:
+            break
+        share *= 2
+    drawn = df.withColumn("tree", F.explode(tickets))
+    order = order_in(F.col("tree"))
+    # Little more than sample rows per tree: bounded by the parameters.
     place = F.row_number().over(Window.partitionBy("tree").orderBy("_order", key))
     return (
         drawn.select("tree", key, *columns, order.alias("_order"))

@@ -28,19 +28,23 @@ def identity_coverage(transactions: DataFrame, identity: DataFrame, key: str = S
     )
 
 
-# A lookup table with more keys than this is expected to be shuffled, not broadcast.
-MAX_PLAIN_KEYS = 500_000
 # A key is hot when more than one row in this many has it; its rows go to this many tasks.
 HOT_SHARE, SALTS = 1_000, 64
 
 
-def hot_keys(table: DataFrame, entries: int) -> dict[str, list[str]] | None:
-    """Hot categories per column of a ``(column, category, n, …)`` table; None for a small one.
+def is_broadcast(table: DataFrame) -> bool:
+    """Whether the planner will copy a stored table to every task, by its bytes."""
+    spark = table.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
+def hot_keys(table: DataFrame) -> dict[str, list[str]]:
+    """Hot categories per column of a ``(column, category, n, …)`` table.
 
     At most ``HOT_SHARE`` per column, as their shares add up to one.
     """
-    if entries <= MAX_PLAIN_KEYS:
-        return None
     totals = table.groupBy("column").agg(F.sum("n").alias("all")).collect()  # a row per column
     is_hot = F.lit(False)
     for row in totals:
@@ -57,14 +61,15 @@ def lookup(
 ) -> DataFrame:
     """``table[column] -> value`` with a default for unseen and missing keys.
 
-    ``table`` has unique keys and comes from storage, so its size is known and the
-    planner broadcasts a small one. For a large one ``hot`` lists its hot keys: their
-    rows, and those without a key, are spread over tasks by a salt from their own row
-    key, and only the hot entries are copied once per salt.
+    ``table`` has unique keys and comes from storage, so its bytes are known and the
+    planner broadcasts a small one. Otherwise ``hot`` lists its hot keys: their rows, and
+    those without a key, are spread over tasks by a salt from their own row key, and only
+    the hot entries are copied once per salt.
     """
     side = table.select(F.col(table.columns[0]).alias(column), F.col(value).alias("_value"))
     on = [column]
-    if hot is not None:
+    if not is_broadcast(side):
+        hot = hot or []
         own = [key] if key in df.columns else df.columns
         salt = F.pmod(F.xxhash64(*own), F.lit(SALTS)).cast("int")
         spread = F.col(column).isNull() | F.col(column).isin(hot)

@@ -13,6 +13,7 @@ Nothing here sorts a whole table in one task. Two ideas do the work:
 
 from __future__ import annotations
 
+import datetime
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -25,8 +26,8 @@ from tidemark.functions import sqltext as sql
 # Values a single window task may hold in order; more of them get another sketch pass.
 MAX_BRACKET_ROWS = 4_000_000
 SKETCH_ACCURACY = 1_000
-# Range buckets of a prefix sum: a row each is all that is ever gathered or broadcast.
-MAX_BUCKETS = 4_000
+# Rows of a range bucket of a prefix sum to aim for; a row per bucket is gathered or broadcast.
+BUCKET_ROWS = 1_000_000
 
 
 # --------------------------------------------------------------------------- brackets
@@ -102,6 +103,9 @@ def _narrow(df, cells, by, kind, targets: list[_Target], accuracy: int) -> None:
 def _group_literal(value) -> str:
     if value is None:
         return "NULL"
+    if isinstance(value, (datetime.datetime, datetime.date)):
+        kind = "TIMESTAMP" if isinstance(value, datetime.datetime) else "DATE"
+        return f"{kind} '{value}'"
     return sql.text(value) if isinstance(value, str) else str(value)
 
 
@@ -347,9 +351,9 @@ def cut_keys(
 
 
 def _bucket_count(df: DataFrame) -> int:
-    """Range buckets to aim for: some per shuffle partition, so that they balance."""
+    """Range buckets to aim for: some per shuffle partition, more if they would grow too large."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(2 * partitions, MAX_BUCKETS))
+    return max(8, 2 * partitions, math.ceil(df.count() / BUCKET_ROWS))
 
 
 def _split_points(df: DataFrame, column: Column, buckets: int) -> list[float]:
@@ -444,10 +448,16 @@ def ranked_rows(
     bucketed = _bucketize(rows, "score", "_bucket", edges)
     if hot:
         is_hot = F.col("score").isin(hot)
-        key_points = _split_points(rows.where(is_hot), F.col("key"), buckets)
+        # A hot score gets as many key ranges as it fills buckets: ranges add up to the buckets.
+        filled = {h: points.count(h) + 1 for h in hot}
+        most = max(filled.values())
+        key_points = _split_points(rows.where(is_hot), F.col("key"), most)
         keyed = bucketed.withColumn("_key", F.col("key").cast("double"))
         bucketed = _bucketize(keyed, "_key", "_range", key_points).drop("_key")
-        bucketed = bucketed.withColumn("_range", F.when(is_hot, F.col("_range")).otherwise(F.lit(0)))
+        share = df.sparkSession.createDataFrame([(h, n / most) for h, n in filled.items()], "_hot double, _share double")
+        bucketed = bucketed.join(F.broadcast(share), F.col("score") == F.col("_hot"), "left").withColumn(
+            "_range", F.coalesce(F.floor(F.col("_range") * F.col("_share")), F.lit(0)).cast("int")
+        ).drop("_hot", "_share")
     else:
         bucketed = bucketed.withColumn("_range", F.lit(0))
     totals = bucketed.groupBy("_bucket", "_range").agg(
@@ -462,7 +472,7 @@ def ranked_rows(
         F.sum("n").over(everything).alias("rows_all"),
         F.sum("p").over(everything).alias("pos_all"),
     )
-    # At most buckets x key ranges rows, a number fixed by the settings.
+    # At most about twice as many rows as buckets.
     joined = bucketed.join(F.broadcast(offsets), ["_bucket", "_range"])
     inside = Window.partitionBy("_bucket", "_range").orderBy(F.col("score").desc(), F.col("key").asc())
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)

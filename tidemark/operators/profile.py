@@ -243,40 +243,42 @@ def weekly_rate(df: DataFrame, label: str = S.LABEL, time: str = S.TIME) -> Data
     )
 
 
+# Groups of a histogram: their ranges are part of its plan.
+MAX_GROUPS = 200
+
+
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = (), span: tuple[float, float] | None = None) -> DataFrame:
     """Density over equal-width bins of each group's own range; the last bin is closed.
 
     Empty bins have no row. A constant group falls in a unit-wide range around its value.
+    Rows whose group is NULL are a group of their own. Histograms are drawn for a handful of
+    groups, whose ranges go into the plan as literals: rows are counted per bin before any
+    shuffle, so that a group of nearly all rows is no heavier than another.
     """
     x = F.col(column).cast("double")
     rows = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x"))
-    if span is None:
-        ranges = rows.groupBy(*by).agg(F.min("_x").alias("_a"), F.max("_x").alias("_b"), F.count("_x").alias("_n"))
-    else:
+    if span is not None:
         rows = rows.where(F.col("_x").between(*span))
-        ranges = rows.groupBy(*by).agg(F.lit(float(span[0])).alias("_a"), F.lit(float(span[1])).alias("_b"), F.count("_x").alias("_n"))
-    flat = F.col("_a") == F.col("_b")
-    ranges = ranges.select(
-        *by, "_n",
-        F.when(flat, F.col("_a") - 0.5).otherwise(F.col("_a")).alias("_lo"),
-        F.when(flat, F.col("_b") + 0.5).otherwise(F.col("_b")).alias("_hi"),
-    ).withColumn("_w", (F.col("_hi") - F.col("_lo")) / F.lit(float(bins)))
-    if by:
-        # One row per group, and histograms are drawn for a handful of groups.
-        placed = rows.join(ranges, list(by))
-    else:
-        one = {c: ranges.select(c).scalar() for c in ("_n", "_lo", "_w")}
-        placed = rows.select("_x", *[value.alias(c) for c, value in one.items()])
-    bin_index = F.least(F.floor((F.col("_x") - F.col("_lo")) / F.col("_w")), F.lit(bins - 1)).cast("int")
-    # Grouping on the range as well costs nothing: it is constant within a group.
-    return (
-        placed.groupBy(*by, bin_index.alias("bin"), "_lo", "_w", "_n")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(
-            *by, "bin", "n_rows",
-            (F.col("_lo") + F.col("bin") * F.col("_w")).alias("left"),
-            (F.col("n_rows") / (F.col("_n") * F.col("_w"))).alias("density"),
-        )
+    found = rows.groupBy(*by).agg(F.min("_x").alias("_a"), F.max("_x").alias("_b"), F.count("_x").alias("_n"))
+    ranges = found.limit(MAX_GROUPS + 1).collect()
+    if len(ranges) > MAX_GROUPS:
+        raise ValueError(f"a histogram is for at most {MAX_GROUPS} groups")
+    low = width = total = F.lit(None).cast("double")
+    for row in ranges:
+        a, b = (row["_a"], row["_b"]) if span is None else map(float, span)
+        if a is None:
+            continue
+        a, b = (a - 0.5, b + 0.5) if a == b else (a, b)
+        here = F.lit(True)
+        for name in by:
+            here = here & F.col(name).eqNullSafe(F.lit(row[name]))
+        low = F.when(here, F.lit(a)).otherwise(low)
+        width = F.when(here, F.lit((b - a) / bins)).otherwise(width)
+        total = F.when(here, F.lit(row["_n"])).otherwise(total)
+    bin_index = F.least(F.floor((F.col("_x") - low) / width), F.lit(bins - 1)).cast("int")
+    counted = rows.groupBy(*by, bin_index.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.select(
+        *by, "bin", "n_rows", (low + F.col("bin") * width).alias("left"), (F.col("n_rows") / (total * width)).alias("density")
     )
 
 

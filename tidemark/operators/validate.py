@@ -109,7 +109,7 @@ def high_missing_count(df: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def row_errors(df: DataFrame) -> Column:
-    """Names of the fields of a row that break a rule, in a fixed order."""
+    """Names of the fields of a row that break a rule, in a fixed order, then those of a wrong type."""
     names = set(df.columns)
 
     def absent(name: str) -> Column:
@@ -123,13 +123,13 @@ def row_errors(df: DataFrame) -> Column:
         )
     else:
         checks.append((S.AMOUNT, F.lit(True)))
-    for flag in S.BINARY_FLAGS:
-        if flag in names:
-            checks.append((flag, F.col(flag).isNotNull() & ~F.col(flag).isin("T", "F")))
-    if S.TRI_FLAG in names:
-        flag = F.col(S.TRI_FLAG)
-        checks.append((S.TRI_FLAG, flag.isNotNull() & ~flag.isin(*S.TRI_FLAG_VALUES)))
-    return F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in checks]))
+    for flag, values in [*((flag, ("T", "F")) for flag in S.BINARY_FLAGS), (S.TRI_FLAG, S.TRI_FLAG_VALUES)]:
+        # A flag that came as an extra is fed to the model like any other.
+        held = F.col(flag) if flag in names else F.col("extras")[flag] if "extras" in names else None
+        if held is not None:
+            checks.append((flag, held.isNotNull() & ~held.isin(*values)))
+    broken = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in checks]))
+    return F.array_union(broken, F.col("misfits")) if "misfits" in names else broken
 
 
 def check_rows(df: DataFrame) -> DataFrame:

@@ -30,8 +30,8 @@ tx AS (
 
 IDN = """
 idn AS (
-  SELECT o_orderkey AS TransactionID, o_totalprice AS id_02, o_orderpriority AS DeviceType, o_orderstatus AS DeviceInfo
-  FROM orders WHERE o_orderkey % 4 = 0
+  SELECT o_orderkey * 4 AS TransactionID, o_totalprice AS id_02, o_orderpriority AS DeviceType, o_orderstatus AS DeviceInfo
+  FROM orders
 )"""
 
 MERGED = TX + "," + IDN + """,
@@ -210,14 +210,17 @@ spoiled AS (
     CASE WHEN TransactionID % 29 = 0 THEN -TransactionAmt WHEN TransactionID % 31 = 0 THEN TransactionAmt + 2000000
          WHEN TransactionID % 37 <> 0 THEN TransactionAmt END AS amt,
     CASE WHEN TransactionID % 43 = 0 THEN 'yes' ELSE M1 END AS f1,
-    CASE WHEN TransactionID % 47 = 0 THEN 'X99' ELSE M4 END AS f4
+    CASE WHEN TransactionID % 47 = 0 THEN 'X99' ELSE M4 END AS f4,
+    CASE WHEN TransactionID % 53 = 0 THEN 'no' ELSE 'T' END AS f2, TransactionID % 59 = 0 AS misfit
   FROM tx
 ),
 broken AS (
   SELECT TransactionID, 1 AS place, 'TransactionDT' AS field FROM spoiled WHERE dt IS NULL
   UNION ALL SELECT TransactionID, 2, 'TransactionAmt' FROM spoiled WHERE amt IS NULL OR amt <= 0 OR amt > 1000000
   UNION ALL SELECT TransactionID, 3, 'M1' FROM spoiled WHERE f1 NOT IN ('T', 'F')
-  UNION ALL SELECT TransactionID, 4, 'M4' FROM spoiled WHERE f4 NOT IN ('M0', 'M1', 'M2')
+  UNION ALL SELECT TransactionID, 4, 'M2' FROM spoiled WHERE f2 NOT IN ('T', 'F')
+  UNION ALL SELECT TransactionID, 6, 'card1' FROM spoiled WHERE misfit
+  UNION ALL SELECT TransactionID, 5, 'M4' FROM spoiled WHERE f4 NOT IN ('M0', 'M1', 'M2')
 )"""
 
 BASE = "ln(CAST(0.034 AS DOUBLE) / (1 - CAST(0.034 AS DOUBLE)))"

@@ -193,6 +193,9 @@ def _spoiled(spark, folder) -> DataFrame:
         F.when(key % 29 == 0, -amount).when(key % 31 == 0, amount + 2e6).when(key % 37 != 0, amount).alias(S.AMOUNT),
         F.when(key % 43 == 0, "yes").otherwise(F.col("M1")).alias("M1"),
         F.when(key % 47 == 0, "X99").otherwise(F.col("M4")).alias("M4"),
+        # A flag among the extras, and a field whose value had the wrong type.
+        F.create_map(F.lit("M2"), F.when(key % 53 == 0, "no").otherwise("T")).alias("extras"),
+        F.when(key % 59 == 0, F.array(F.lit("card1"))).otherwise(F.array().cast("array<string>")).alias("misfits"),
     )
 
 
@@ -307,7 +310,7 @@ def label_corr(spark, folder):
 
 @query
 def score_corr(spark, folder):
-    rows = tx(spark, folder).join(scored(spark, folder).select(S.KEY, "score"), S.KEY)
+    rows = tx(spark, folder).withColumn("score", tables.score_column())
     features = [S.AMOUNT, "card1", "addr1", "rarely_missing", "mostly_missing", S.TIME]
     return P.top_correlations(rows, "score", features, 20)
 

@@ -61,8 +61,6 @@ class Settings:
                 found[name] = node[key]
         flat = {f.name for f in fields(cls)}
         found.update({k: v for k, v in values.items() if k in flat})
-        if "search_trials" in found:
-            found["search_trials"] = min(int(found["search_trials"]), 50)
         return replace(cls(), **found)
 
 

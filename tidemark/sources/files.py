@@ -12,20 +12,23 @@ from tidemark import schema as S
 from tidemark.functions import sqltext as sql
 
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_INTEGER = r"^[+-]?\d{1,18}$"
+_INTEGER = r"^[+-]?\d+$"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False, key: str = S.KEY
+) -> DataFrame:
     """Header CSV whose missing-value tokens become NULL.
 
     With a schema the columns are cast to it and no extra pass is made. Without one a
     single aggregate decides every column's type: whole numbers are BIGINT (DOUBLE
     when values are missing), other numbers DOUBLE, the rest STRING.
     """
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
     # The header is read alone: every data column then comes in as text.
-    names = spark.read.option("header", True).csv(path).columns
+    names = reader.csv(path).columns
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = spark.read.schema(text).option("header", True).csv(path)
+    raw = reader.schema(text).csv(path)
     tokens = ", ".join(map(sql.text, S.NA_TOKENS))
     clean = raw.select(*[
         F.expr(f"CASE WHEN {sql.name(n)} NOT IN ({tokens}) THEN {sql.name(n)} END AS {sql.name(n)}") for n in names
@@ -35,25 +38,27 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
         return clean.select(
             *[F.col(f"`{n}`").try_cast(wanted[n]).alias(n) if n in wanted else F.col(f"`{n}`") for n in names]
         )
-    types = _column_types(clean)
+    types = _column_types(clean, key)
     return clean.select(*[F.expr(f"try_cast({sql.name(n)} AS {types[n]}) AS {sql.name(n)}") for n in names])
 
 
-def _column_types(clean: DataFrame) -> dict[str, str]:
+def _column_types(clean: DataFrame, key: str) -> dict[str, str]:
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, name in enumerate(clean.columns):
         column = sql.name(name)
         aggs += [
             F.expr(f"count({column}) AS n{i}"),
             F.expr(f"count_if({column} RLIKE {sql.text(_NUMBER)}) AS d{i}"),
-            F.expr(f"count_if({column} RLIKE {sql.text(_INTEGER)}) AS i{i}"),
+            F.expr(f"count_if({column} RLIKE {sql.text(_INTEGER)} AND try_cast({column} AS BIGINT) IS NOT NULL) AS i{i}"),
         ]
     row = clean.agg(*aggs).first()
     types = {}
     for i, name in enumerate(clean.columns):
         present = row[f"n{i}"]
-        if row[f"i{i}"] == present == row["rows"]:
+        if row[f"i{i}"] == present and (present == row["rows"] or name == key):
             types[name] = "bigint"
+        elif name == key:
+            types[name] = "string"  # a key is never rounded to a DOUBLE
         elif row[f"d{i}"] == present:
             types[name] = "double"
         else:
@@ -95,8 +100,8 @@ def write_splits(df: DataFrame, path: str) -> str:
 def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON records with known fields typed and the others kept in ``extras``.
 
-    Values that do not fit a field's type become NULL, so that the row rules can
-    name the field.
+    Values that do not fit a field's type become NULL and their fields are listed in
+    ``misfits``, which the row rules report.
     """
     as_text = spark.read.text(path)
     return parse_records(as_text, schema)
@@ -108,7 +113,10 @@ def parse_records(lines: DataFrame, schema: T.StructType) -> DataFrame:
     known = [f.name for f in schema]
     typed = [F.col("fields").getItem(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
     extras = F.map_filter("fields", lambda k, _: ~k.isin(*known)).alias("extras")
-    return parsed.select(*typed, extras)
+    misfits = F.array_compact(F.array(*[
+        F.when(F.col("fields")[f.name].isNotNull() & F.col("fields")[f.name].try_cast(f.dataType).isNull(), F.lit(f.name)) for f in schema
+    ])).cast("array<string>")
+    return parsed.select(*typed, extras, misfits.alias("misfits"))
 
 
 # ------------------------------------------------------------------ Hadoop file system

@@ -89,8 +89,9 @@ def explained(frame: DataFrame) -> DataFrame:
 
 
 def identity(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").where(F.col("o_orderkey") % 4 == 0).select(
-        F.col("o_orderkey").alias(S.KEY),
+    """The identity view: every order, its key spread so that a quarter of the transactions match."""
+    return table(spark, folder, "orders").select(
+        (F.col("o_orderkey") * 4).alias(S.KEY),
         F.col("o_totalprice").alias("id_02"),
         F.col("o_orderpriority").alias("DeviceType"),
         F.col("o_orderstatus").alias("DeviceInfo"),
@@ -99,9 +100,12 @@ def identity(spark: SparkSession, folder: str) -> DataFrame:
 
 def scored(frame: DataFrame) -> DataFrame:
     """``(key, time, y, score)`` with a deterministic, tied score over a transaction view."""
-    score = F.round(
+    return frame.select(S.KEY, S.TIME, F.col(S.LABEL).alias("y"), score_column().alias("score"))
+
+
+def score_column() -> Column:
+    return F.round(
         F.lit(0.6) * (F.col("ProductCD") == "error").cast("double")
         + F.lit(0.4) * F.least(F.col(S.AMOUNT), F.lit(200.0)) / F.lit(200.0),
         4,
     )
-    return frame.select(S.KEY, S.TIME, F.col(S.LABEL).alias("y"), score.alias("score"))

@@ -104,8 +104,13 @@ def append_stream(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def finish(query: StreamingQuery, seconds: int = 600) -> None:
-    """Wait for an ``availableNow`` run; a stuck one is stopped and reported."""
-    if not query.awaitTermination(seconds):
+def finish(query: StreamingQuery, seconds: float | None = None) -> None:
+    """Wait for an ``availableNow`` run, for as long as it takes unless the caller sets a limit.
+
+    A run that passes the caller's limit is stopped and reported.
+    """
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"stream did not finish within {seconds} s")
