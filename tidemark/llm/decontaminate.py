@@ -225,7 +225,7 @@ def annotate(docs: DataFrame, items: DataFrame, column: str = "leaks", threshold
 
     Null, empty and item-less texts have an empty array; so has every text when no item has a
     word. Repeated documents are each searched; repeated items are each reported. All columns
-    of ``docs`` are kept; one named like ``column`` raises.
+    of ``docs`` are kept; one named like ``column`` is replaced.
     """
     context = docs.sparkSession.sparkContext
     leak = T.StructType([

@@ -25,7 +25,8 @@ UNKNOWN = "und"
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string")) % 4 == 2
+    """Rows kept out of learning; a row without an id is not."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
 @functools.cache
@@ -169,7 +170,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     A null, empty or letterless text is ``und`` with score 0, as is every text when nothing was
     learned. Ties go to the language first in the alphabet. Repeated rows are judged alike, other
-    columns are kept as they are (those two names are taken), an empty table gives no rows.
+    columns are kept as they are (of those two names they are replaced), an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by languages x sample_chars
 

@@ -236,7 +236,7 @@ def loss_and_gradients(net: Network, codes: np.ndarray, tags: np.ndarray) -> tup
     return float((total - gold).mean()), [*d_inputs, *d_loops, d_out, d_bias, d_moves / n]
 
 
-def train(windows: list[tuple[np.ndarray, np.ndarray]], steps: int = 260, batch: int = 96, seed: int = 5) -> Network:
+def train(windows: list[tuple[np.ndarray, np.ndarray]], steps: int = 360, batch: int = 96, seed: int = 5) -> Network:
     """A network by Adam on windows of codes and tags of TRAIN_WINDOW characters."""
     net, draw = new_network(seed), np.random.default_rng(seed)
     codes = np.stack([c for c, _ in windows], 1)
@@ -275,7 +275,7 @@ def training_windows(texts: list[str], seed: int = 5) -> list[tuple[np.ndarray,
     for text in texts:
         spans = sorted(base_spans(text), key=lambda s: s[1])
         spans_seen += len(spans)
-        for kind, start, end in spans:
+        for kind, start, end in [*spans, *(s for s in spans if s[0] >= 2)]:  # kinds with variants twice
             written = _variants(kind, text[start:end], draw)
             room = TRAIN_WINDOW - len(written)
             if room < 2:
@@ -361,22 +361,22 @@ def added_spans(text: str, tags: np.ndarray, base: list[tuple[int, int, int]]) -
     marked = np.flatnonzero(tags)
     if not len(marked):
         return []
-    edges = np.flatnonzero(np.diff(np.r_[0, tags, 0].astype(np.int16)))
+    edges = np.flatnonzero(np.diff(np.r_[0, tags > 0, 0].astype(np.int8)))
     spans = []
-    for start, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        kind = int(tags[start]) - 1
-        if kind < 0:
-            continue
+    for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        # A run of several kinds is of the kind it has most of that its content allows.
+        votes = np.bincount(tags[start:end], minlength=len(KINDS) + 1)[1:]
         while start < end and not (text[start].isalnum() or text[start] in "(+"):
             start += 1
         while start < end and not text[end - 1].isalnum():
             end -= 1
         # A run that breaks off within a number is no whole one.
-        if start < end and not (text[start - 1 : start].isdigit() and text[start].isdigit()) and not (
+        if start == end or (text[start - 1 : start].isdigit() and text[start].isdigit()) or (
             text[end : end + 1].isdigit() and text[end - 1].isdigit()
-        ):
-            if not any(a < end and b > start for _, a, b in base) and _valid(kind, text[start:end]):
-                spans.append((kind, start, end))
+        ) or any(a < end and b > start for _, a, b in base):
+            continue
+        kinds = [k for k in np.argsort(-votes, kind="stable").tolist() if votes[k] and _valid(k, text[start:end])]
+        spans += [(kinds[0], start, end)] if kinds else []
     return spans
 
 
@@ -384,7 +384,7 @@ def find_spans(docs: DataFrame, net: Network | None, column: str = "spans") -> D
     """``docs`` with all spans: ``kind, start, end`` (code points) and ``base``, by kind and start.
 
     Null and empty texts have none. With no network only the patterns are applied. Repeated rows
-    get the same spans; other columns are kept; one named like ``column`` raises.
+    get the same spans; other columns are kept; one named like ``column`` is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)
     kinds = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))

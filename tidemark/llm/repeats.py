@@ -228,7 +228,7 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
             .where("n > 1"), "wholes",
         )
         judged = written(rows.join(wholes.select("one", "two", F.lit(True).alias("whole")), ["one", "two"], "left"), "judged")
-        spans.append(judged.where("whole").selectExpr("rid", "edge - size + 1 AS start", f"edge + {LENGTH} AS end"))
+        spans.append(judged.where("whole").selectExpr("rid", "first AS start", f"last + {LENGTH} AS end"))
         if size == 1:
             break
         undecided = judged.where("whole IS NULL AND spare = 0 AND size > 1")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 SLICE_BYTES = 4 << 20
 
@@ -59,12 +59,10 @@ def slices(batches, column: int = 1, limit: int = SLICE_BYTES) -> Iterator[pa.Re
 def extended(docs: DataFrame, make: Callable[[pa.Array], list[pa.Array]], fields: list[T.StructField], limit: int = SLICE_BYTES) -> DataFrame:
     """``docs`` with the columns that ``make`` has for a slice of texts (nulls read as empty there).
 
-    All columns stay as they are; a new one of the same name as another, in any case, raises.
+    All columns stay as they are, except that a new one replaces one of its name, in any case.
     """
-    taken = {name.lower() for name in docs.columns}
-    for field in fields:
-        if field.name.lower() in taken:
-            raise ValueError(f"{field.name} is a column of the documents")
+    fresh = {field.name.lower() for field in fields}
+    docs = docs.select(*[F.col(f"`{name}`") for name in docs.columns if name.lower() not in fresh])
     place = docs.columns.index("text")
 
     def run(batches):
