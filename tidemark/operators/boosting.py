@@ -131,11 +131,12 @@ class TreeArrays:
         self.value = nodes["value"].to_numpy(dtype=float)
         self.cover = nodes["cover"].to_numpy(dtype=float)
 
-    def tree_terms(self, values: np.ndarray) -> np.ndarray:
-        """Leaf value of every (row, tree)."""
+    def tree_terms(self, values: np.ndarray, first: int = 0, last: int | None = None) -> np.ndarray:
+        """Leaf value of every (row, tree), for trees ``first`` to ``last`` (exclusive)."""
         rows = np.arange(len(values))
-        terms = np.empty((len(values), len(self.roots)))
-        for t, root in enumerate(self.roots):
+        roots = self.roots[first:last]
+        terms = np.empty((len(values), len(roots)))
+        for t, root in enumerate(roots):
             at = np.full(len(values), root)
             while True:
                 nxt = np.where(values[rows, self.feature[at]] <= self.threshold[at], self.left[at], self.right[at])
@@ -171,23 +172,34 @@ def predict(df: DataFrame, ensemble: Ensemble, target: str = "probability") -> D
 
 
 def staged_auroc(df: DataFrame, ensemble: Ensemble, label: str, after: int = 0) -> list[tuple[int, float]]:
-    """Exact AUROC after each round beyond ``after``; a row per round comes back."""
+    """Exact AUROC after each round beyond ``after``; a row per round comes back.
+
+    Rows carry their running score from block to block of rounds, so that each tree is
+    evaluated once per row.
+    """
     trees = df.sparkSession.sparkContext.broadcast(TreeArrays(ensemble.nodes))
 
-    @F.pandas_udf("array<double>")
-    def stages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        for batch in batches:
-            running = trees.value.tree_terms(batch.to_numpy(dtype=float)).cumsum(axis=1)
-            yield pd.Series(list(running[:, after:]))
+    def stages(first: int, last: int):
+        @F.pandas_udf("array<double>")
+        def running(batches: Iterator[tuple[pd.DataFrame, pd.Series]]) -> Iterator[pd.Series]:
+            for values, score in batches:
+                terms = trees.value.tree_terms(values.to_numpy(dtype=float), first, last)
+                yield pd.Series(list(np.cumsum(np.column_stack([score.to_numpy(), terms]), axis=1)[:, 1:]))
+
+        return running(F.col("values"), F.col("score"))
 
+    rows = df.select(feature_struct(ensemble.features).alias("values"), F.col(label).alias("y"), F.lit(0.0).alias("score"))
+    if after:
+        rows = rows.withColumn("score", F.element_at(stages(0, after), -1))
     found = []
     # A few rounds per job, so that a row is never multiplied by the whole ensemble.
     for start in range(after, ensemble.rounds, STAGES_PER_JOB):
         end = min(start + STAGES_PER_JOB, ensemble.rounds)
-        scores = F.slice(stages(feature_struct(ensemble.features)), start - after + 1, end - start)
-        long = df.select(F.col(label).alias("y"), F.posexplode(scores).alias("round", "score"))
-        rows = ranking_metrics(long, "score", "y", ["round"]).select("round", "auroc").collect()
-        found += [(row["round"] + start + 1, row["auroc"]) for row in rows]
+        block = written(rows.select("values", "y", stages(start, end).alias("scores")), "stages")
+        long = block.select("y", F.posexplode("scores").alias("round", "score"))
+        ranked = ranking_metrics(long, "score", "y", ["round"]).select("round", "auroc").collect()
+        found += [(row["round"] + start + 1, row["auroc"]) for row in ranked]
+        rows = block.select("values", "y", F.element_at("scores", -1).alias("score"))
     return sorted(found)
 
 

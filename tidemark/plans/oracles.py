@@ -364,7 +364,7 @@ ORACLES: dict[str, str] = {
     f"{portable_hash_sql('TransactionID', 42)}, TransactionID) AS place, count(*) OVER (PARTITION BY isFraud) AS n FROM tx) "
     "SELECT TransactionID, isFraud FROM h WHERE place <= greatest(1, CAST(floor(n * CAST(0.3 AS DOUBLE)) AS BIGINT))",
     "explain_sample": f"WITH {TX} SELECT TransactionID, round(TransactionAmt, 6) AS TransactionAmt FROM tx "
-    f"ORDER BY {portable_hash_sql('TransactionID', 42)}, TransactionID LIMIT 500",
+    f"ORDER BY {portable_hash_sql('TransactionID', 42)}, TransactionID LIMIT 5000",
     # learned transforms
     "drop_missing": f"WITH {MERGED}{split_of('merged')} SELECT {', '.join(c for c in MERGED_COLUMNS if c not in ('R_emaildomain', 'mostly_missing', 'id_02', 'DeviceType', 'DeviceInfo'))}, split FROM sp",
     "email_risk": f"WITH {TX}{split_of('tx')}{ENCODING}, rrisk AS (SELECT R_emaildomain AS domain, (sum(isFraud) + 10.0 * (SELECT prior FROM bounds)) / (count(*) + 10.0) AS rate "
@@ -494,3 +494,21 @@ ORACLES["signal_report"] = (
     f"WITH {SCORED}{split_of('scored')}{ladder('split', 'sp')}{_flagging('split')}, r AS (SELECT split, {RANKING} FROM ladder GROUP BY split) "
     "SELECT flagging.*, round(auroc, 6) AS auroc, round(ap, 6) AS ap FROM flagging JOIN r USING (split)"
 )
+
+# Fitted models: what must hold for any of them.
+ORACLES.update({
+    "iforest_nodes": f"WITH {TX}{split_of('tx')}, n AS (SELECT least(count(*), 256) AS n FROM train) "
+    "SELECT CAST(t AS BIGINT) AS tree, CAST(n AS BIGINT) AS n_rows, CAST(n AS BIGINT) AS n_in_leaves, CAST(1 AS BIGINT) AS leaves_less_splits, "
+    "CAST(0 AS BIGINT) AS too_deep FROM n, range(200) AS r(t)",
+    "iforest_score": f"WITH {TX}{split_of('tx')} SELECT TransactionID, split, CAST(1 AS BIGINT) AS in_range FROM sp",
+    "gbt_scores": f"WITH {TX}{split_of('tx')} SELECT TransactionID, split, isFraud, CAST(1 AS BIGINT) AS in_range FROM sp",
+    "anomaly_report": "SELECT split, CAST(5 AS BIGINT) AS n_lines, CAST(0 AS BIGINT) AS n_off FROM (VALUES ('train'), ('val'), ('test')) AS s(split)",
+    "contributions": "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_off FROM events",
+    "importance": "SELECT CAST(1 AS DOUBLE) AS total, CAST(0 AS BIGINT) AS n_negative",
+    "score_batch": f"WITH {TX} SELECT TransactionID, CAST(1 AS BIGINT) AS flag_follows, CAST(3 AS BIGINT) AS n_factors FROM tx "
+    "WHERE TransactionAmt > 0 AND TransactionAmt <= 1000000",
+    "stream_score": f"WITH {TX} SELECT TransactionID, CAST(1 AS BIGINT) AS equals_batch FROM tx WHERE TransactionAmt > 0 AND TransactionAmt <= 1000000",
+    "search_trials": f"WITH {TX}{split_of('tx')}, n AS (SELECT sum(greatest(1, CAST(floor(c * CAST(0.3 AS DOUBLE)) AS BIGINT))) AS n "
+    "FROM (SELECT count(*) AS c FROM train GROUP BY isFraud)) SELECT CAST(t AS BIGINT) AS trial, 'done' AS state, CAST(1 AS BIGINT) AS in_ranges, "
+    "CAST(1 AS BIGINT) AS is_auroc, CAST(n AS BIGINT) AS sample_rows FROM n, range(2) AS r(t)",
+})

@@ -25,7 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Fixed values of the queries: decision thresholds, and model sizes that suit a test table.
 THRESHOLD = 0.3
-MODEL_SETTINGS = Settings(max_rounds=8, patience=4, forest_trees=50)
+MODEL_SETTINGS = Settings(max_rounds=8, patience=4)
 MODEL_PARAMS = boosting.BoostParams(max_depth=4)
 
 
@@ -56,6 +56,11 @@ def merged(spark, folder) -> DataFrame:
     return J.merge_identity(tx(spark, folder), idn(spark, folder))
 
 
+def merged_once(spark, folder) -> DataFrame:
+    """The merged view, joined once for the many passes of a fit."""
+    return written(merged(spark, folder), "merged")
+
+
 def scored(spark, folder) -> DataFrame:
     return tables.scored(tx(spark, folder))
 
@@ -92,7 +97,7 @@ def merged_roundtrip(spark, folder):
 @query
 def feature_table(spark, folder):
     """The whole feature job: split, fit on train, encode every row."""
-    table = training.build_features(merged(spark, folder))
+    table = training.build_features(merged_once(spark, folder))
     path = files.write_splits(table.rows, fresh_path(spark, "features"))
     return files.read_table(spark, path).select(*table.rows.columns)
 
@@ -124,7 +129,7 @@ def append_score(spark, folder):
 @query
 def state_roundtrip(spark, folder):
     """Rows encoded by a fitted chain that was saved and loaded."""
-    table = training.build_features(merged(spark, folder))
+    table = training.build_features(merged_once(spark, folder))
     path = fresh_path(spark, "pipeline")
     table.pipeline.save(path)
     loaded = training.PipelineModel.load(path)
@@ -464,8 +469,8 @@ def stratified_sample(spark, folder):
 
 @query
 def explain_sample(spark, folder):
-    """A uniform sample of exactly 500 rows (the report's own default is 5,000)."""
-    return L.uniform_sample(tx(spark, folder).select(S.KEY, S.AMOUNT), 500)
+    """A uniform sample of exactly 5,000 rows, or all."""
+    return L.uniform_sample(tx(spark, folder).select(S.KEY, S.AMOUNT), Settings.explain_rows)
 
 
 # ---------------------------------------------------------------------- learned transforms
@@ -508,7 +513,7 @@ def median_table(spark, folder):
 
 @query
 def pipeline_summary(spark, folder):
-    table = training.build_features(merged(spark, folder))
+    table = training.build_features(merged_once(spark, folder))
     return E.pipeline_summary(spark, table.pipeline)
 
 
@@ -715,7 +720,7 @@ _TRAINED: dict[tuple[str, str], training.Trained] = {}
 def trained(spark, folder) -> training.Trained:
     place = (spark.sparkContext.applicationId, folder)
     if place not in _TRAINED:
-        _TRAINED[place] = training.train(merged(spark, folder), MODEL_SETTINGS, MODEL_PARAMS)
+        _TRAINED[place] = training.train(merged_once(spark, folder), MODEL_SETTINGS, MODEL_PARAMS)
     return _TRAINED[place]
 
 
@@ -726,25 +731,37 @@ def forget_models() -> None:
 
 @query
 def iforest_nodes(spark, folder):
-    """Node table of a forest fitted on the training rows."""
-    table = training.build_features(merged(spark, folder))
-    return training.fit_forest(table, MODEL_SETTINGS).table
+    """Trees of a forest fitted on the training rows: sampled rows, rows in leaves, shape."""
+    table = training.build_features(merged_once(spark, folder))
+    nodes = training.fit_forest(table, MODEL_SETTINGS).table
+    leaf = F.col("feature") < 0
+    return nodes.groupBy("tree").agg(
+        F.max(F.when(F.col("node") == 0, F.col("size"))).alias("n_rows"),
+        F.sum(F.when(leaf, F.col("size"))).alias("n_in_leaves"),
+        (2 * F.count_if(leaf) - F.count(F.lit(1))).alias("leaves_less_splits"),
+        F.max((F.col("depth") > 8).cast("int")).alias("too_deep"),
+    )
 
 
 @query
 def iforest_score(spark, folder):
-    return trained(spark, folder).scored.select(S.KEY, S.SPLIT, S.SCORE)
+    """Which rows got a score, and whether it is one."""
+    return trained(spark, folder).scored.select(S.KEY, S.SPLIT, F.col(S.SCORE).between(-1, 1).cast("int").alias("in_range"))
 
 
 @query
 def anomaly_report(spark, folder):
-    """Ranking and flagging of the fitted anomaly score per split."""
-    return R.signal_report(trained(spark, folder).scored, S.SCORE, S.LABEL, [S.SPLIT])
+    """Ranking and flagging of the fitted anomaly score per split: rows, and measures out of their range."""
+    report = R.signal_report(trained(spark, folder).scored, S.SCORE, S.LABEL, [S.SPLIT])
+    off = ~F.col("auroc").between(0, 1) | ~F.col("recall").between(0, 1) | ~F.col("precision").between(0, 1)
+    return report.groupBy(S.SPLIT).agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(off).alias("n_off"))
 
 
 @query
 def gbt_scores(spark, folder):
-    return trained(spark, folder).scored.select(S.KEY, S.SPLIT, S.LABEL, "probability")
+    """Every row with its split, label and whether its probability is one."""
+    rows = trained(spark, folder).scored
+    return rows.select(S.KEY, S.SPLIT, S.LABEL, ((F.col("probability") > 0) & (F.col("probability") < 1)).cast("int").alias("in_range"))
 
 
 @query
@@ -757,7 +774,11 @@ def model_metrics(spark, folder):
 
 @query
 def importance(spark, folder):
-    return boosting.importance(trained(spark, folder).bundle.trees, spark)
+    """Shares of gain: their sum over all features, and how many are negative."""
+    trees = trained(spark, folder).bundle.trees
+    return boosting.importance(trees, spark, len(trees.features)).agg(
+        F.sum("importance").alias("total"), F.count_if(F.col("importance") < 0).alias("n_negative")
+    )
 
 
 @query
@@ -768,32 +789,39 @@ def search_trials(spark, folder):
         rows.where(F.col(S.SPLIT) == "train"), rows.where(F.col(S.SPLIT) == "val"), model.bundle.features,
         trials=2, max_rounds=2, patience=2,
     )
-    return log.select("trial", F.map_keys("params").alias("searched"), "value")
+    inside = F.lit(True)
+    for name, (low, high) in boosting.SEARCH_SPACE.items():
+        inside = inside & F.col("params")[name].between(low, high)
+    return log.select("trial", "state", inside.cast("int").alias("in_ranges"), F.col("value").between(0, 1).cast("int").alias("is_auroc"), "sample_rows")
 
 
 @query
 def contributions(spark, folder):
-    """Terms of every encoded row; with the base they add up to its log-odds."""
+    """Encoded rows, and those whose base and terms do not add up to their log-odds."""
     model = trained(spark, folder)
     trees = model.bundle.trees
     terms, base = C.contributions_column(spark, trees)
     rows = model.scored.select(S.KEY, terms.alias("terms"), boosting.log_odds_column(spark, trees).alias("log_odds"))
     total = F.aggregate("terms", F.lit(base), lambda acc, c: acc + c)
-    return rows.select(S.KEY, "log_odds", total.alias("base_plus_terms"))
+    off = F.abs(F.col("log_odds") - total) > 1e-6
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(off).alias("n_off"))
 
 
 @query
 def model_mean_abs(spark, folder):
     model = trained(spark, folder)
     _, terms = model.bundle.columns(spark)
-    return C.mean_abs_contributions(model.scored.select(terms.alias("terms")), model.bundle.features, "terms")
+    means = C.mean_abs_contributions(model.scored.select(terms.alias("terms")), model.bundle.features, "terms", top=None)
+    return means.agg(F.count_if(F.col("mean_abs") >= 0).alias("n_features"), F.count_if(F.col("feature") == S.SCORE).alias("n_score"))
 
 
 @query
 def score_batch(spark, folder):
     """Raw records scored end to end, bad ones quarantined first."""
     scores, _ = scoring.score_checked(merged(spark, folder), trained(spark, folder).bundle)
-    return scores.select(S.KEY, "probability", F.col("is_flagged").cast("int").alias("is_flagged"), F.size("top_factors").alias("n_factors"))
+    model = trained(spark, folder).bundle
+    flagged = F.col("is_flagged") == (F.col("probability") >= model.threshold)
+    return scores.select(S.KEY, flagged.cast("int").alias("flag_follows"), F.size("top_factors").alias("n_factors"))
 
 
 # ------------------------------------------------------------------------------- streaming
@@ -810,7 +838,12 @@ def stream_score(spark, folder):
     out = fresh_path(spark, "stream")
     model = trained(spark, folder).bundle
     jobs.finish(jobs.score_stream(_event_stream(spark, folder), model, out, fresh_path(spark, "progress")))
-    return spark.read.parquet(f"{out}/scored").select(S.KEY, "probability", F.col("is_flagged").cast("int").alias("is_flagged"))
+    batch, _ = scoring.score_checked(tx(spark, folder), model)
+    both = spark.read.parquet(f"{out}/scored").select(S.KEY, "probability").join(
+        batch.select(S.KEY, F.col("probability").alias("by_batch")), S.KEY, "full"
+    )
+    same = F.coalesce(F.abs(F.col("probability") - F.col("by_batch")) < 1e-9, F.lit(False))
+    return both.select(S.KEY, same.cast("int").alias("equals_batch"))
 
 
 @query
