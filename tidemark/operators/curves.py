@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import scalars as X
-from tidemark.operators.ordering import exact_quantiles, ranked_rows, score_ladder
+from tidemark.operators.ordering import cut_keys, exact_quantiles, ranked_rows, score_ladder
 
 # Review shares of the flagging table and of the gain curve, in percent.
 FLAG_PERCENTS = (1, 2, 5, 10, 20)
@@ -64,15 +64,29 @@ def gain_curve(df: DataFrame, score: str, key: str, label: str) -> DataFrame:
 
 
 def gain_marks(df: DataFrame, score: str, key: str, label: str, percents: Sequence[int] = GAIN_PERCENTS) -> DataFrame:
-    """Capture after reviewing the top ``pct`` percent of the rows."""
-    curve = gain_curve(df, score, key, label)
-    marks = F.array_compact(
-        F.array(*[
-            F.when(F.col("rank") == F.greatest(F.floor(F.col("rows_all") * p / 100), F.lit(1)), F.lit(p))
-            for p in percents
-        ])
+    """Capture after reviewing the top ``pct`` percent of the rows.
+
+    The cut of every mark is found by its key, and one pass counts the positives before
+    each: no row is ranked or shuffled.
+    """
+    value = F.col(score).cast("double")
+    rows = df.where(value.isNotNull() & ~F.isnan(value)).select((-value).alias("_down"), F.col(key).alias("_key"), F.col(label).alias("_y"))
+
+    def ranks(n: int) -> list[int]:
+        return [max(n * p // 100, 1) for p in percents]
+
+    cuts, n = cut_keys(rows.select("_down", "_key"), "_down", "_key", [p / 100 for p in percents], ranks)
+    counts = rows.agg(
+        F.sum("_y").alias("all"),
+        *[F.sum(F.when(cut.before("_down", "_key"), F.col("_y"))).alias(f"p{i}") for i, cut in enumerate(cuts)],
     )
-    return curve.select(F.explode(marks).alias("pct"), "rank", "share_flagged", "capture")
+    marks = [
+        F.struct(F.lit(p).alias("pct"), F.lit(rank).cast("bigint").alias("rank"), F.lit(rank / n).alias("share_flagged"),
+                 X.ratio(F.col(f"p{i}"), F.col("all")).alias("capture"))
+        for i, (p, rank) in enumerate(zip(percents, ranks(n) if n else []))
+    ]
+    empty = df.sparkSession.createDataFrame([], "pct int, rank bigint, share_flagged double, capture double")
+    return counts.select(F.inline(F.array(*marks))) if marks else empty
 
 
 # ---------------------------------------------------------------------- ranking metrics
