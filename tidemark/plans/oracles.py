@@ -504,6 +504,9 @@ ORACLES.update({
     "gbt_scores": f"WITH {TX}{split_of('tx')} SELECT TransactionID, split, isFraud, CAST(1 AS BIGINT) AS in_range FROM sp",
     "anomaly_report": "SELECT split, CAST(5 AS BIGINT) AS n_lines, CAST(0 AS BIGINT) AS n_off FROM (VALUES ('train'), ('val'), ('test')) AS s(split)",
     "contributions": "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_off FROM events",
+    "model_mean_abs": "SELECT CAST(0 AS BIGINT) AS n_negative, CAST(1 AS BIGINT) AS n_score",
+    "model_metrics": f"WITH {TX}{split_of('tx')} SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(isFraud) AS BIGINT) AS n_positive, "
+    "CAST(1 AS BIGINT) AS same_threshold FROM sp GROUP BY split",
     "importance": "SELECT CAST(1 AS DOUBLE) AS total, CAST(0 AS BIGINT) AS n_negative",
     "score_batch": f"WITH {TX} SELECT TransactionID, CAST(1 AS BIGINT) AS flag_follows, CAST(3 AS BIGINT) AS n_factors FROM tx "
     "WHERE TransactionAmt > 0 AND TransactionAmt <= 1000000",

@@ -768,8 +768,11 @@ def gbt_scores(spark, folder):
 def model_metrics(spark, folder):
     """Re-derives the threshold of the fitted model and evaluates every split."""
     model = trained(spark, folder)
-    _, _, metrics = training.rescore(model.scored.drop("probability"), model.bundle.trees)
-    return metrics
+    threshold, _, metrics = training.rescore(model.scored.drop("probability"), model.bundle.trees)
+    return metrics.select(
+        S.SPLIT, (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n_rows"), (F.col("tp") + F.col("fn")).alias("n_positive"),
+        (F.abs(F.lit(threshold) - F.lit(model.bundle.threshold)) < 1e-9).cast("int").alias("same_threshold"),
+    )
 
 
 @query
@@ -812,7 +815,7 @@ def model_mean_abs(spark, folder):
     model = trained(spark, folder)
     _, terms = model.bundle.columns(spark)
     means = C.mean_abs_contributions(model.scored.select(terms.alias("terms")), model.bundle.features, "terms", top=None)
-    return means.agg(F.count_if(F.col("mean_abs") >= 0).alias("n_features"), F.count_if(F.col("feature") == S.SCORE).alias("n_score"))
+    return means.agg(F.count_if(F.col("mean_abs") < 0).alias("n_negative"), F.count_if(F.col("feature") == S.SCORE).alias("n_score"))
 
 
 @query
