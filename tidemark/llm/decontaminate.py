@@ -191,8 +191,8 @@ def _share(wanted: np.ndarray, there: np.ndarray) -> float:
     return float(np.isin(wanted, there).mean()) if len(wanted) else 1.0
 
 
-def build_indexes(items: DataFrame, index_words: int = INDEX_WORDS) -> list[Index]:
-    """Indexes over all items with a text of one word or more, each of about ``index_words``.
+def build_indexes(items: DataFrame, index_words: int | None = None) -> list[Index]:
+    """Indexes over all items with a text of one word or more, each of about ``index_words`` (INDEX_WORDS).
 
     Frequencies, the mean length and the number of items are those of all items.
     """
@@ -207,7 +207,7 @@ def build_indexes(items: DataFrame, index_words: int = INDEX_WORDS) -> list[Inde
     size = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     n, total = known.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
     frequencies = known.mapInArrow(terms, "term bigint").groupBy("term").count()
-    shards = max(1, -(-total // index_words))
+    shards = max(1, -(-total // (index_words or INDEX_WORDS)))
     indexes = []
     for shard in range(shards):
         part = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
