@@ -22,6 +22,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # At a similarity of 0.8 a pair is missed by all 25 bands with probability 5e-5.
 BANDS, BAND_ROWS = 25, 5
+# Members of a bucket that are compared with as many others at a time.
+BLOCK = 256
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _AIM = np.uint64(0xD1B54A32D192ED03)
@@ -133,8 +135,8 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
             mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays([a_ids.filter(mask), b_ids.filter(mask)], names=["a", "b"])
 
-    with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    with_b = pairs.hint("merge").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    both = with_b.hint("merge").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
@@ -152,6 +154,88 @@ def _alike(a, b, similarity: float) -> bool:
     return common >= similarity * (a[1] + b[1] - common)
 
 
+def _unit_lists(texts: DataFrame) -> DataFrame:
+    """``doc_id, units``: 32 bits of each region, regions of first occurrences in front, and how many those are."""
+    kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for part in slices(batches):
+            of, hashes, occurrence = shingles(*text_buffer(part.column(1)))
+            units = (regions(hashes, occurrence) >> np.uint64(32)).astype("<u4")
+            order = np.lexsort((occurrence > 0, of))
+            of, units, occurrence = of[order], units[order], occurrence[order]
+            bounds = np.searchsorted(of, np.arange(part.num_rows + 1))
+            lists = [units[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+            n_first = np.bincount(of[occurrence == 0], minlength=part.num_rows).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lists, pa.binary()), pa.array(n_first)], names=["doc_id", "units", "n_first"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, units binary, n_first int")
+
+
+class _Block:
+    """Members of a bucket: their classes and units side by side."""
+
+    def __init__(self, rows: list[dict]):
+        self.ids = [r["doc_id"] for r in rows]
+        self.component = np.array([r["component"] for r in rows])
+        self.lists = [np.frombuffer(r["units"], "<u4") for r in rows]
+        self.n_first = np.array([r["n_first"] for r in rows])
+        self.size = np.array([len(units) for units in self.lists])
+        owner = np.repeat(np.arange(len(rows)), self.size)
+        units = np.concatenate(self.lists)
+        starts = np.cumsum(self.size) - self.size
+        is_first = np.arange(len(units)) < (starts + self.n_first)[owner]
+        order = np.argsort(units, kind="stable")
+        self.units, self.owner, self.is_first = units[order], owner[order], is_first[order]
+
+    def like(self, units: np.ndarray, n_first: int, similarity: float) -> np.ndarray:
+        """Members similar to a text with these units, as multisets or as sets."""
+        low, high = np.searchsorted(self.units, units), np.searchsorted(self.units, units, "right")
+        size = high - low
+        at = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+        common = np.bincount(self.owner[at], minlength=len(self.ids))
+        at = at[self.is_first[at]]
+        of_first = np.bincount(self.owner[at], minlength=len(self.ids))
+        return (common >= similarity * (self.size + len(units) - common)) | (of_first >= similarity * (self.n_first + n_first - of_first))
+
+
+def _across(rest: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``a < b`` of one bucket and different classes that look similar by 32-bit units.
+
+    Buckets are dealt into blocks of BLOCK members by a hash of the id; a task compares two
+    blocks, and of those only members outside the blocks' commonest class with the rest.
+    """
+    kind = rest.schema["doc_id"].dataType.simpleString()
+    ids = rest.select("doc_id").distinct()
+    units = _unit_lists(texts.join(ids.hint("merge"), "doc_id", "left_semi"))
+    blocks = written(
+        rest.withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("k")))
+        .join(units.hint("merge"), "doc_id").groupBy("band", "k", "block")
+        .agg(F.collect_list(F.struct("doc_id", "component", "units", "n_first")).alias("rows")), "blocks",
+    )
+    alone = blocks.select("rows", F.lit(None).cast(blocks.schema["rows"].dataType).alias("others"))
+    several = blocks.where("k > 1").select("band", "block", "rows")
+    two = several.join(several.select("band", F.col("block").alias("other"), F.col("rows").alias("others")), "band").where("block < other").select("rows", "others")
+
+    def run(batches):
+        for batch in batches:
+            pairs = []
+            for i in range(batch.num_rows):
+                a = _Block(batch.column(0)[i].as_py())
+                b = _Block(other) if (other := batch.column(1)[i].as_py()) else a
+                classes, counts = np.unique(np.concatenate([a.component, b.component]), return_counts=True)
+                main = classes[counts.argmax()]
+                for one, two in ((a, b), (b, a)) if b is not a else ((a, a),):
+                    for at in np.flatnonzero(one.component != main).tolist():
+                        alike = two.like(one.lists[at], one.n_first[at], similarity) & (two.component != one.component[at])
+                        pairs += [(one.ids[at], two.ids[j]) for j in np.flatnonzero(alike).tolist()]
+            pairs = sorted({(min(p), max(p)) for p in pairs})
+            kind_of = batch.column(0).type.value_type.field("doc_id").type
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], kind_of), pa.array([p[1] for p in pairs], kind_of)], names=["a", "b"])
+
+    return alone.union(two).mapInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, class_id, kept`` of every row; a class is linked by similarity, its id the least.
 
@@ -173,20 +257,18 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     members = written(banded.join(leaders, "band"), "members")
     pairs = written(members.where("leader <> doc_id").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = written(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "texts")
+    # Joins that carry texts are dealt by key at every size, never by a copy of the other side.
+    texts = written(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi"), "texts")
     links = written(verify(pairs, texts, similarity), "verified")
     of = written(components(links), "components")
-    # Buckets that still hold several classes: compare across them what was not compared yet.
+    # Buckets that still hold several classes: compare across them, in blocks of their members.
     placed = members.where("n > 2").join(of, F.col("id") == F.col("doc_id"), "left").select(
-        "band", "doc_id", F.coalesce("component", "doc_id").alias("component")
+        "band", "doc_id", "n", F.coalesce("component", "doc_id").alias("component")
     )
     mixed = written(placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band"), "mixed")
     rest = written(placed.join(mixed, "band"), "rest")
-    across = rest.select("band", F.col("doc_id").alias("a"), F.col("component").alias("ca")).join(
-        rest.select("band", F.col("doc_id").alias("b"), F.col("component").alias("cb")), "band"
-    ).where("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = written(across.join(pairs, ["a", "b"], "left_anti"), "pairs-across")
-    found = written(verify(more, texts, similarity), "verified-across")
+    across = written(_across(rest, texts, similarity).join(pairs, ["a", "b"], "left_anti"), "pairs-across")
+    found = written(verify(across, texts, similarity), "verified-across")
     if not found.isEmpty():
         of = written(components(links.union(found)), "components")
     copies = written(nodes.where("n > 1").select("copy", F.col("first.doc_id").alias("first")), "copies")
