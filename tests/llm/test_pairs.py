@@ -75,6 +75,21 @@ def test_signatures_estimate_weighted_similarity():
     assert abs((hits[0] == hits[1]).mean() - 160 / 200) < 0.03
 
 
+def test_pairs_alike_as_sets_only_are_linked(spark):
+    """Texts with a part repeated often and their copies with it once: multiset similarities about 0.5."""
+    rows = []
+    for i in range(40):
+        text = prose(700 + i, 160)
+        part = " ".join(text.split()[40:80])
+        rows += [(2 * i, text), (2 * i + 1, text + 4 * (" " + part))]
+    counts = [shingle_counts(t) for _, t in rows]
+    for a, b in zip(counts[::2], counts[1::2]):
+        assert len(a.keys() & b.keys()) >= 0.8 * len(a.keys() | b.keys())
+        assert sum((a & b).values()) < 0.6 * sum((a | b).values())
+    found = {r["doc_id"]: r["class_id"] for r in near_dups.near_duplicates(documents(spark, rows)).collect()}
+    assert found == {i: i // 2 * 2 for i in range(80)} == classes_of(dict(rows))
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     rows = near_dups.near_duplicates(odd).collect()
     assert len(rows) == len(ODD)

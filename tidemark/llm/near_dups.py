@@ -5,7 +5,8 @@ w-th occurrence of a shingle owns a unit region of the dart board; darts fall in
 a Poisson process over their ranks, drawn from hashes of the region alone, and each dart aims
 at one of the signature's coordinates. A coordinate keeps its earliest dart. Two texts agree in
 a coordinate with the probability of their weighted Jaccard similarity, and a text of W
-shingles needs only about k log k darts besides W first draws.
+shingles needs only about k log k darts besides W first draws. A text that repeats shingles has
+a second signature, of its first occurrences only, for texts that are alike as sets.
 """
 
 from __future__ import annotations
@@ -99,6 +100,24 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return mix((parts * _FACTORS[:BAND_ROWS]).sum(2, dtype=np.uint64) + keys).view(np.int64)
 
 
+def bands_of(of: np.ndarray, hashes: np.ndarray, occurrence: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys of all texts in a row, and where each text's begin and the last's end.
+
+    Keys are of the multiset of shingles and of their set; a key that is both is there once.
+    """
+    k = BANDS * BAND_ROWS
+    keys = band_keys(signatures(of, regions(hashes, occurrence), n_texts, k))
+    repeating = np.unique(of[occurrence > 0])
+    place = np.full(n_texts, -1)
+    place[repeating] = np.arange(len(repeating))
+    own = (occurrence == 0) & (place[of] >= 0)
+    of_sets = band_keys(signatures(place[of[own]], regions(hashes[own], occurrence[own]), len(repeating), k))
+    fresh = of_sets != keys[repeating]
+    text = np.concatenate([np.repeat(np.arange(n_texts), BANDS), np.repeat(repeating, fresh.sum(1))])
+    order = np.argsort(text, kind="stable")
+    return np.concatenate([keys.ravel(), of_sets[fresh]])[order], np.searchsorted(text[order], np.arange(n_texts + 1))
+
+
 def sign(docs: DataFrame) -> DataFrame:
     """``doc_id, copy, bands``: a key of the exact text and the band keys (null without words)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -108,9 +127,9 @@ def sign(docs: DataFrame) -> DataFrame:
             data, offsets = text_buffer(part.column(1))
             of, hashes, occurrence = shingles(data, offsets)
             n = part.num_rows
-            keys = band_keys(signatures(of, regions(hashes, occurrence), n, BANDS * BAND_ROWS))
+            keys, bounds = bands_of(of, hashes, occurrence, n)
             empty = np.bincount(of, minlength=n) == 0
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
+            bands = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(keys))
             bands = pa.array([None if none else row for none, row in zip(empty.tolist(), bands)], pa.list_(pa.int64())) if empty.any() else bands
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), bands], names=["doc_id", "copy", "bands"])
 
