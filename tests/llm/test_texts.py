@@ -148,6 +148,16 @@ def test_planted_items_are_found(spark, table, texts, folder):
     assert planted and planted <= found and len(found - planted) <= 1
 
 
+@pytest.mark.parametrize("length", [150, 400, 1_000, 3_000])
+def test_long_items_are_found_whole(spark, length):
+    item = prose(60, length).replace(".", ",").replace("\n", " ") + ". " + prose(61, 8)
+    items = spark.createDataFrame([(1, item), (2, prose(62, 40))], "item_id bigint, text string")
+    half = " ".join(item.split()[: length // 3])  # less than half the question and no answer
+    rows = [(1, prose(63, 700) + " " + item + " " + prose(64, 300)), (2, item), (3, prose(65, 900) + " " + half + " " + prose(66, 100))]
+    found = {(r["doc_id"], r["item_id"]): r for r in decontaminate.find_leaks(documents(spark, rows), items).collect()}
+    assert set(found) == {(1, 1), (2, 1)} and all(r["question_overlap"] > 0.99 and r["answer_overlap"] == 1.0 for r in found.values())
+
+
 def test_search_returns_all_items_above_the_threshold():
     draw = np.random.default_rng(3)
     items = [(i, prose(i, int(draw.integers(5, 90)))) for i in range(60)]

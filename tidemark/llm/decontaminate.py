@@ -58,7 +58,7 @@ class Index:
 
     def __init__(self, items: list[tuple[object, str]], frequency: dict[int, int], n_items: int, mean_words: float):
         self.ids = [item for item, _ in items]
-        self.question, self.answer = [], []
+        self.question, self.answer, self.length = [], [], []
         postings: dict[int, list[tuple[int, float]]] = {}
         for place, (_, text) in enumerate(items):
             question, answer = question_and_answer(text)
@@ -68,6 +68,7 @@ class Index:
             df = np.array([frequency[int(term)] for term in terms.view(np.int64)])
             idf = np.log1p((n_items - df + 0.5) / (df + 0.5))
             length = counts.sum()
+            self.length.append(int(length))
             weight = idf * counts * (K1 + 1) / (counts + K1 * (1 - B + B * length / mean_words))
             weight /= weight.sum() * min(1.0, STRIDE / length)  # a long item is seen in parts only
             for term, w in zip(terms.tolist(), weight.tolist()):
@@ -177,8 +178,10 @@ def leaks_of(index: Index, data: np.ndarray, offsets: np.ndarray, threshold: flo
     owner = np.searchsorted(window_first + n_windows, hopeful, "right")
     for w, a, b, text in zip(hopeful.tolist(), bounds[0].tolist(), bounds[1].tolist(), owner.tolist()):
         for item, score in index.search(term[a:b].tolist(), threshold):
-            start = first[text] + max(0, (w - window_first[text]) * STRIDE - STRIDE)
-            near = hashes[start : min(start + PASSAGE + 2 * STRIDE, first[text] + sizes[text])]
+            # As much text on both sides as a copy may have there of which the window is only a part.
+            margin = max(STRIDE, index.length[item])
+            begin = (w - window_first[text]) * STRIDE
+            near = hashes[first[text] + max(0, begin - margin) : first[text] + min(begin + PASSAGE + margin, sizes[text])]
             asked = _share(index.question[item], trigrams(near) if len(index.question[item]) else near)
             asked = max(asked, _share(index.question[item], near))  # questions of one or two words
             answered = _share(index.answer[item], near)
