@@ -138,6 +138,25 @@ def test_long_words_take_several_rounds(reference, monkeypatch):
         own.decode([struct.pack("<I", 60_000)])
 
 
+def test_words_longer_than_a_query_takes(reference):
+    draw = np.random.default_rng(8)
+    own = byte_bpe.Codec(public_tokenizers.path(byte_bpe.VOCABULARY))
+    letters = np.frombuffer(b"etaoinshrdlucmfwypvbgk", np.uint8)
+    texts = ["x " + letters[draw.integers(0, len(letters), n)].tobytes().decode() + " y" for n in (11_000, 12_000, (1 << 20) + 500)]
+    texts += ["a" * 12_001, "-" * ((1 << 20) + 7), "αβγб" * 4_000]
+    packed = own.encode(texts)
+    for text, p in zip(texts, packed):
+        assert np.array_equal(np.frombuffer(p, "<u4"), reference.encode_ordinary(text))
+    assert own.decode(packed) == [t.encode() for t in texts]
+
+
+def test_both_ways_of_contracting_agree(texts):
+    own = byte_bpe.Codec(public_tokenizers.path(byte_bpe.VOCABULARY))
+    words = {w for t in list(texts.values())[:20] for w in own.pattern.findall(t)}
+    own._learn(words)
+    assert {w: own._contract_long(w.encode()) for w in words} == {w: own.known[w] for w in words}
+
+
 # -------------------------------------------------------------------------------- decontaminate
 
 

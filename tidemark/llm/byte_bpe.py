@@ -2,15 +2,17 @@
 
 Encoding: every match of the pattern is a word. Distinct words of a slice become token-position
 rows, one per byte; a recursive query joins neighbouring tokens with the merge table and
-contracts each word's leftmost minimum-rank pair until no pair merges. Decoding: the ids are
-unnested with their position, joined with the vocabulary and put together by an ordered
-aggregation.
+contracts each word's leftmost minimum-rank pair until no pair merges. Words too long for one
+query make the same contractions from a heap of pairs. Decoding: the ids are unnested with
+their position, joined with the vocabulary and put together by an ordered aggregation.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import heapq
+from array import array
 
 import duckdb
 import numpy as np
@@ -52,7 +54,8 @@ WITH RECURSIVE tokens AS (
 SELECT word, place, token, best IS NULL AS final FROM tokens JOIN (SELECT word, max(step) AS step FROM tokens GROUP BY word) USING (word, step)
 ORDER BY word, place
 """
-# Places of a word have 20 bits there.
+# Places of a word have 20 bits there; longer words, and those whose round alone has more than
+# QUERY_ROWS rows, don't go there.
 LONGEST_WORD = (1 << 20) - 2
 
 _DECODE = """
@@ -117,6 +120,9 @@ class Codec:
             if raw in self.ranks:  # a word that is a token needs no merges
                 self.known[word] = self.ranks[raw].to_bytes(4, "little")
                 continue
+            if len(raw) > min(QUERY_ROWS // ROUND, LONGEST_WORD):
+                self.known[word] = self._contract_long(raw)
+                continue
             pending.append((word, raw))
             cost += len(raw) * min(len(raw), ROUND)
             if cost > QUERY_ROWS:
@@ -125,6 +131,35 @@ class Codec:
         if pending:
             self._contract(pending)
 
+    def _contract_long(self, raw: bytes) -> bytes:
+        """Packed ids of a word of any length, the same contractions in the same order by a heap of pairs.
+
+        A pair is its rank above its place; one that a contraction nearby has changed is passed over.
+        """
+        n = len(raw)
+        before, after = array("q", range(-1, n)), array("q", range(1, n + 2))  # of the token at a place; 0 after: contracted
+        rank_of = self.ranks.get
+        pairs = [r << 40 | p for p in range(n - 1) if (r := rank_of(raw[p : p + 2])) is not None]
+        heapq.heapify(pairs)
+        while pairs:
+            best = heapq.heappop(pairs)
+            rank, p = best >> 40, best & ((1 << 40) - 1)
+            gone = after[p]
+            if not gone or gone >= n or rank_of(raw[p : after[gone]]) != rank:
+                continue
+            after[p] = following = after[gone]
+            before[following] = p
+            after[gone] = 0
+            if following < n and (r := rank_of(raw[p : after[following]])) is not None:
+                heapq.heappush(pairs, r << 40 | p)
+            if p and (r := rank_of(raw[before[p] : following])) is not None:
+                heapq.heappush(pairs, r << 40 | before[p])
+        ids, p = array("q"), 0
+        while p < n:
+            ids.append(self.ranks[raw[p : after[p]]])
+            p = after[p]
+        return np.array(ids, "<u4").tobytes()
+
     def _contract(self, pending: list[tuple[str, bytes]]) -> None:
         lengths = np.array([len(raw) for _, raw in pending])
         word = np.repeat(np.arange(len(pending), dtype=np.int32), lengths)
