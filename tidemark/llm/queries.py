@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from tidemark.llm.byte_bpe import op8_byte_bpe
 from tidemark.llm.decontaminate import op6_decontamination
+from tidemark.llm.fill_in_middle import OP13_SQL, op13_fill_in_middle
 from tidemark.llm.language_id import op2_language_id
+from tidemark.llm.lexical_search import OP11_SQL, op11_best_position_search
 from tidemark.llm.near_dups import op1_dart_minhash
+from tidemark.llm.packing import op12_packing
 from tidemark.llm.passages import op4_substring_dedup
 from tidemark.llm.pii import op9_pii
 from tidemark.llm.quality_classifier import op7_quality_classifier
@@ -24,8 +27,13 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_pii": op9_pii,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_best_position_search": op11_best_position_search,
+    "op12_packing": op12_packing,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLES = {
     "op3_quality_rules": OP3_SQL,
+    "op11_best_position_search": OP11_SQL,
+    "op13_fill_in_middle": OP13_SQL,
 }
