@@ -38,7 +38,7 @@ def difference(result, con, sql: str) -> str | None:
     expected = cursor.fetchall()
     if sorted(names) != sorted(result.columns):
         return f"columns {sorted(result.columns)} != {sorted(names)}"
-    kinds = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+    kinds = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
     spark_types = dict(result.dtypes)
     wrong = [(n, spark_types[n], t) for n, t in zip(names, theirs_types) if kinds.get(t) != spark_types[n]]
     if wrong:
