@@ -163,20 +163,20 @@ def test_pieces_of_the_table(table, texts, word_tokenizer):
 
 def test_parts_equal_the_tokenizer(word_tokenizer, monkeypatch):
     text = "Å H̱ x́y Ünï's DON'T I'LL a'S 12½ ﬀ z\x85w\x1cv \x00 \x7f' 's İstanbul ΣΑΣ <|endoftext|> </w> 日本語 é̀ " + prose(4, 500)
-    ids = packing.PartIds(public_tokenizers.path(packing.VOCABULARY))
+    ids = packing.WordIds(public_tokenizers.path(packing.VOCABULARY))
     expected = np.array(word_tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     assert ids.encode(text.encode()) == expected
     monkeypatch.setattr(packing, "RUN_BYTES", 10)
     monkeypatch.setattr(packing, "REMEMBERED", 20)
-    ids = packing.PartIds(public_tokenizers.path(packing.VOCABULARY))
-    assert ids.encode(text.encode()) == expected and len(ids.words) < 100
+    ids = packing.WordIds(public_tokenizers.path(packing.VOCABULARY))
+    assert ids.encode(text.encode()) == expected and len(ids) < 100
 
 
 @settings(max_examples=60, deadline=None)
 @given(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("aA'sStTl 1.̱́\x1c")), max_size=40))
 def test_any_text_equals_the_tokenizer(text):
     path = public_tokenizers.path(packing.VOCABULARY)
-    ids = packing._part_ids(path)
+    ids = packing._word_ids(path)
     expected = np.array(ids.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     assert ids.encode(text.encode()) == expected
 

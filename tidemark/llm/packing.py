@@ -33,55 +33,46 @@ BUCKET_TOKENS = 1 << 22
 # Cost of n tokens that attend to each other: LINEAR * n + QUADRATIC * n * n.
 LINEAR, QUADRATIC = 1.0, 1.0 / 2_048
 # Words whose ids a worker remembers; then it forgets them all and goes on.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 # Bytes of a text whose words are listed at once.
 RUN_BYTES = 1 << 20
 _SPACES = b" \t\n\r\x0b\x0c"
-# Parts of a word whose ids don't depend on what stands beside them: all of it if it has a
-# character other than printable ASCII, else the matches of the tokenizer's own pattern, as they
-# are for ASCII.
-_PARTS = re.compile(
-    rb"^[\x21-\x7e]*[^\x21-\x7e].*"
-    rb"|'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+", re.IGNORECASE | re.DOTALL
-)
+# Parts of a word whose ids don't depend on what stands beside them: the matches of the tokenizer's
+# own pattern, as they are for printable ASCII.
+_PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+", re.IGNORECASE)
+_PRINTABLE = re.compile(rb"[\x21-\x7e]*").fullmatch
 
 
-class PartIds:
-    """Ids of whole texts, part by part.
+class WordIds(dict):
+    """Ids of words as little-endian 32-bit integers, found when first asked for.
 
-    The tokenizer's pattern never reaches over white space and its normalization never joins over
-    it. Parts of printable ASCII need no more of it than lower case before the merges.
+    A word stands between ASCII white space: the tokenizer's pattern never reaches over white
+    space and its normalization never joins over it. Words of printable ASCII need no more of it
+    than lower case before the merges; others go through all of it.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.merge = self.tokenizer.model.tokenize
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
 
     def encode(self, raw: bytes) -> bytes:
-        """Ids as little-endian 32-bit integers."""
-        return b"".join(self._ids(run.split()) for run in _runs(raw))
-
-    def _ids(self, words: list[bytes]) -> bytes:
-        unknown = set(words).difference(self.words)
-        if unknown and len(self.words) > REMEMBERED:
-            self.words.clear()
-            self.parts.clear()
-            unknown = set(words)
-        for word in unknown:
-            self.words[word] = b"".join([self.parts.get(part) or self._part(part) for part in _PARTS.findall(word)])
-        return b"".join(map(self.words.__getitem__, words))
-
-    def _part(self, part: bytes) -> bytes:
-        text = part.decode()
-        if text.isascii() and text.isprintable():
-            ids = [token.id for token in self.merge(text.lower())]
+        """Ids of a whole text."""
+        return b"".join([b"".join(map(self.__getitem__, run.split())) for run in _runs(raw)])
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) > REMEMBERED:
+            self.clear()
+        if not _PRINTABLE(word):
+            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        elif word.isalpha() or len(parts := _PARTS.findall(word)) == 1:
+            ids = [token.id for token in self.merge(word.decode().lower())]
         else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        self.parts[part] = packed = struct.pack(f"<{len(ids)}I", *ids)
-        return packed
+            self[word] = joined = b"".join([self[part] for part in parts])
+            return joined
+        self[word] = found = struct.pack(f"<{len(ids)}I", *ids)
+        return found
 
 
 def _runs(raw: bytes) -> Iterator[bytes]:
@@ -96,8 +87,8 @@ def _runs(raw: bytes) -> Iterator[bytes]:
 
 
 @functools.cache
-def _part_ids(path: str) -> PartIds:
-    return PartIds(path)
+def _word_ids(path: str) -> WordIds:
+    return WordIds(path)
 
 
 def capacities(tokens: int, size: int = SEQUENCE_TOKENS) -> np.ndarray:
@@ -144,7 +135,7 @@ def pack(docs: DataFrame, size: int = SEQUENCE_TOKENS, vocabulary: str | None =
     schema = f"doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
     def run(batches):
-        encoder = _part_ids(path)
+        encoder = _word_ids(path)
         sequence = TaskContext.get().partitionId() << 40
         ending = np.array([end_id], "<u4").tobytes()
         names: list[pa.Array] = []
