@@ -42,10 +42,32 @@ def test_average_path():
 @pytest.mark.parametrize("sample", [64, 1_500, 5_000])
 def test_samples_are_exact_and_distinct(rows, sample):
     df, frame = rows
-    got = I.tree_samples(df, S.KEY, [S.KEY, *COLUMNS][1:], 20, sample, 42, len(frame)).toPandas()
+    got = I.tree_samples(df, S.KEY, COLUMNS, 20, sample, 42, len(frame)).toPandas()
     sizes = got.groupby("tree").size()
     assert len(sizes) == 20 and set(sizes) == {min(sample, len(frame))}
-    assert not got.duplicated(["tree", "a", "b"]).groupby(got.tree).sum().gt(14).any()
+    assert not got.duplicated(["tree", S.KEY]).any()
+    values = frame.set_index(S.KEY)[COLUMNS]
+    assert all(values.loc[k].tolist() == list(v) for k, v in zip(got[S.KEY][:200], got["values"][:200]))
+    again = I.tree_samples(df.repartition(7), S.KEY, COLUMNS, 20, sample, 42, len(frame)).toPandas()
+    assert set(zip(got.tree, got[S.KEY])) == set(zip(again.tree, again[S.KEY]))
+
+
+def test_short_draws_read_more_buckets(rows, monkeypatch):
+    df, frame = rows
+    asked = []
+    real = I.tickets
+    monkeypatch.setattr(I, "tickets", lambda spark, trees, per_tree, buckets, seed: asked.append(per_tree) or real(spark, trees, 1 if len(asked) == 1 else per_tree, buckets, seed))
+    got = I.tree_samples(df, S.KEY, COLUMNS, 20, 64, 42, len(frame)).toPandas()
+    assert len(asked) == 2 and asked[1] == 2 * asked[0] and set(got.groupby("tree").size()) == {64}
+
+
+def test_every_row_is_drawn_alike(spark):
+    """No key is favoured: over many trees, draws per row are as spread as chance has it."""
+    big = spark.range(4_000).select(F.col("id").alias(S.KEY), F.lit(1.0).alias("x"))
+    counts = I.tree_samples(big, S.KEY, ["x"], 500, 64, 1, 4_000).groupBy(S.KEY).count()
+    drawn = {r[0]: r[1] for r in counts.collect()}
+    spread = np.array([drawn.get(i, 0) for i in range(4_000)])
+    assert spread.sum() == 500 * 64 and spread.var() < 2 * spread.mean() and (spread == 0).mean() < 0.01
 
 
 def test_drawn_samples_match_the_expected_size_on_a_larger_table(spark):

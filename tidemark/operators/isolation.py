@@ -29,7 +29,8 @@ from tidemark.session import written
 NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, size int, depth int"
 )
-_HASH_RANGE = 2_147_483_647
+# Rows expected in a bucket of the draw.
+BUCKET_ROWS = 8
 EULER_GAMMA = 0.5772156649015329
 
 
@@ -44,40 +45,48 @@ def average_path(n):
 # --------------------------------------------------------------------------- sampling
 
 
-def tree_samples(df: DataFrame, key: str, columns: Sequence[str], trees: int, sample: int, seed: int, rows: int) -> DataFrame:
-    """``(tree, columns…)`` with exactly ``min(sample, rows)`` distinct rows per tree.
+def tickets(spark: SparkSession, trees: int, per_tree: int, buckets: int, seed: int) -> DataFrame:
+    """``(tree, bucket)``: the buckets that each tree reads, all of them once ``per_tree`` reaches their number.
 
-    Every row has an order per tree, a hash of its key and the tree, and a tree keeps its
-    smallest ones, whatever the table's size. Only rows below a limit are shuffled: it is
-    set so that more than enough are expected, and raised if a tree got too few.
+    At most ``trees x per_tree`` rows, whatever the size of the table.
     """
-    size = min(sample, rows)
-    key_col = F.col(key)
-    share = (size + 10 * math.sqrt(size) + 20) / max(rows, 1)
+    if per_tree >= buckets:
+        pairs = spark.range(trees * buckets)
+        return pairs.select(F.expr(f"int(id div {buckets})").alias("tree"), F.expr(f"id % {buckets}").alias("bucket"))
+    drawn = spark.range(trees * per_tree)
+    bucket = F.pmod(portable_hash(F.col("id"), seed + 2_000_003), F.lit(buckets))
+    return drawn.select(F.expr(f"int(id div {per_tree})").alias("tree"), bucket.alias("bucket")).distinct()
+
 
-    def order_in(tree: Column) -> Column:
-        return portable_hash(key_col, tree + F.lit(seed + 1_000_003))
+def tree_samples(df: DataFrame, key: str, columns: Sequence[str], trees: int, sample: int, seed: int, rows: int) -> DataFrame:
+    """``(tree, key, values)``, the columns as one array, with exactly ``min(sample, rows)`` distinct rows per tree.
 
+    One hash of its key puts a row into a bucket of about ``BUCKET_ROWS`` rows, and a lookup by
+    bucket gives the trees that read it, so a row costs the same for any number of trees. A tree
+    reads enough buckets to expect more rows than it needs and keeps those with the smallest
+    order, a hash of key and tree; if one got too few, all trees read twice as many buckets.
+    Draws depend on keys and parameters only. Rows without a key share one order.
+    """
+    size = min(sample, rows)
+    buckets = max(1, rows // BUCKET_ROWS)
+    per_tree = math.ceil((size + 10 * math.sqrt(size) + 20) / BUCKET_ROWS)
+    key_col = F.coalesce(F.col(key).cast("long"), F.lit(-1))
+    held = df.select(F.col(key).alias("_key"), key_col.alias("_id"), sql.double_array(columns).alias("_values"))
     while True:
-        limit = F.lit(int(min(share, 1.0) * _HASH_RANGE))
-        tickets = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: order_in(tree) < limit)
-        if share >= 1:
+        # Rows of the lookup: bounded by the parameters, see tickets.
+        readers = F.broadcast(tickets(df.sparkSession, trees, per_tree, buckets, seed))
+        drawn = held.withColumn("bucket", F.pmod(portable_hash(F.col("_id"), seed), F.lit(buckets))).join(readers, "bucket")
+        drawn = written(drawn.select("tree", "_key", portable_hash(F.col("_id"), F.col("tree") + F.lit(seed + 1_000_003)).alias("_order"), "_values"), "drawn")
+        if per_tree >= buckets:
             break
-        entered = df.select(F.explode(tickets).alias("tree")).groupBy("tree").count()
-        least = entered.agg(F.min("count"), F.count(F.lit(1))).first()
-        if least[1] == trees and least[0] >= size:
+        got = drawn.groupBy("tree").count().agg(F.count(F.lit(1)), F.min("count")).first()
+        if got[0] == trees and got[1] >= size:
             break
-        share *= 2
-    drawn = df.withColumn("tree", F.explode(tickets))
-    order = order_in(F.col("tree"))
+        per_tree *= 2
     # Little more than sample rows per tree: bounded by the parameters.
-    place = F.row_number().over(Window.partitionBy("tree").orderBy("_order", key))
-    return (
-        drawn.select("tree", key, *columns, order.alias("_order"))
-        .withColumn("_place", place)
-        .where(F.col("_place") <= size)
-        .select("tree", *columns)
-    )
+    place = F.row_number().over(Window.partitionBy("tree").orderBy("_order", "_key"))
+    kept = drawn.withColumn("_place", place).where(F.col("_place") <= size)
+    return kept.select("tree", F.col("_key").alias(key), F.col("_values").alias("values"))
 
 
 def grow_tree(values: np.ndarray, tree: int, seed: int) -> pd.DataFrame:
@@ -109,18 +118,18 @@ def grow_tree(values: np.ndarray, tree: int, seed: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=names)
 
 
-def forest_nodes(samples: DataFrame, columns: Sequence[str], size: int, seed: int) -> DataFrame:
+def forest_nodes(samples: DataFrame, size: int, seed: int) -> DataFrame:
     """Build every tree in its own group of ``size`` rows."""
 
     def build(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         if len(rows) != size:
             raise ValueError(f"tree {key[0]} has {len(rows)} rows, not {size}")
         # A fixed row order makes a rebuilt tree the same tree.
-        values = rows[list(columns)].to_numpy(dtype=float)
+        values = np.array(rows["values"].tolist(), dtype=float).reshape(size, -1)
         values = values[np.lexsort(values.T[::-1])]
         return grow_tree(values, int(key[0]), seed)
 
-    return samples.groupBy("tree").applyInPandas(build, NODE_SCHEMA)
+    return samples.select("tree", "values").groupBy("tree").applyInPandas(build, NODE_SCHEMA)
 
 
 # ---------------------------------------------------------------------------- scoring
@@ -200,7 +209,7 @@ class AnomalyForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultPara
         size = min(get("sampleSize"), rows)
         samples = tree_samples(df, get("keyCol"), columns, get("trees"), get("sampleSize"), get("seed"), rows)
         model = AnomalyForestModel()
-        model.table = written(forest_nodes(samples, columns, size, get("seed")), "forest")
+        model.table = written(forest_nodes(samples, size, get("seed")), "forest")
         raw = df.select((-isolation_column(df.sparkSession, model.table, columns, size)).alias("raw"))
         # The offset centres the score: it is 0 at the contamination quantile.
         raw = written(raw, "isolation")
