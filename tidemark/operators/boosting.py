@@ -72,12 +72,17 @@ class Ensemble:
     rounds: int
     log: list[tuple[int, float]] = field(default_factory=list)
 
+    def __post_init__(self):
+        # 1 where missing values go to the left; trees that never met any send them to the right.
+        if "missing" not in self.nodes:
+            self.nodes = self.nodes.assign(missing=0)
+
     def first(self, rounds: int) -> "Ensemble":
         nodes = self.nodes[self.nodes["tree"] < rounds].reset_index(drop=True)
         return Ensemble(self.features, nodes, rounds, self.log)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        spark.createDataFrame(self.nodes, TREE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(posixpath.join(path, "trees"))
+        spark.createDataFrame(self.nodes, TREE_SCHEMA + ", missing int").coalesce(1).write.mode("overwrite").parquet(posixpath.join(path, "trees"))
         names = [(i, name) for i, name in enumerate(self.features)]
         spark.createDataFrame(names, "place int, feature string").coalesce(1).write.mode("overwrite").parquet(
             posixpath.join(path, "features")
@@ -130,6 +135,7 @@ class TreeArrays:
         self.right = np.where(self.leaf, own, nodes["right"] + offset).astype(np.int32)
         self.value = nodes["value"].to_numpy(dtype=float)
         self.cover = nodes["cover"].to_numpy(dtype=float)
+        self.missing = nodes["missing"].to_numpy(dtype=bool)
 
     def tree_terms(self, values: np.ndarray, first: int = 0, last: int | None = None) -> np.ndarray:
         """Leaf value of every (row, tree), for trees ``first`` to ``last`` (exclusive)."""
@@ -139,7 +145,9 @@ class TreeArrays:
         for t, root in enumerate(roots):
             at = np.full(len(values), root)
             while True:
-                nxt = np.where(values[rows, self.feature[at]] <= self.threshold[at], self.left[at], self.right[at])
+                value = values[rows, self.feature[at]]
+                goes_left = (value <= self.threshold[at]) | (np.isnan(value) & self.missing[at])
+                nxt = np.where(goes_left, self.left[at], self.right[at])
                 if (nxt == at).all():
                     break
                 at = nxt

@@ -21,18 +21,19 @@ from tidemark.operators.boosting import Ensemble, TreeArrays, feature_struct
 class _Leaf:
     """One root-to-leaf path, its repeated features merged into one interval each."""
 
-    __slots__ = ("features", "low", "high", "share", "value")
+    __slots__ = ("features", "low", "high", "share", "missing", "value")
 
-    def __init__(self, path: list[tuple[int, float, float, float]], value: float):
+    def __init__(self, path: list[tuple[int, float, float, float, bool]], value: float):
         merged: dict[int, list[float]] = {}
-        for feature, low, high, share in path:
+        for feature, low, high, share, missing in path:
             if feature in merged:
                 entry = merged[feature]
-                entry[0], entry[1], entry[2] = max(entry[0], low), min(entry[1], high), entry[2] * share
+                entry[:] = max(entry[0], low), min(entry[1], high), entry[2] * share, entry[3] and missing
             else:
-                merged[feature] = [low, high, share]
+                merged[feature] = [low, high, share, missing]
         self.features = np.array(list(merged), dtype=np.int64)
         self.low, self.high, self.share = (np.array([e[k] for e in merged.values()]) for k in range(3))
+        self.missing = np.array([e[3] for e in merged.values()], dtype=bool)
         self.value = value
 
     def terms(self, values: np.ndarray) -> np.ndarray:
@@ -45,7 +46,7 @@ class _Leaf:
         nothing is tabulated.
         """
         held = values[:, self.features]
-        holds = ((held > self.low) & (held <= self.high)).astype(float)
+        holds = (((held > self.low) & (held <= self.high)) | (np.isnan(held) & self.missing)).astype(float)
         nodes, weights = _legendre((len(self.features) + 1) // 2)
         total = np.zeros_like(holds)
         for x, w in zip(nodes, weights):
@@ -80,8 +81,9 @@ class Explainer:
                     continue
                 feature, cut = int(arrays.feature[at]), float(arrays.threshold[at])
                 left, right = int(arrays.left[at]), int(arrays.right[at])
-                stack.append((left, path + [(feature, -math.inf, cut, arrays.cover[left] / arrays.cover[at])]))
-                stack.append((right, path + [(feature, cut, math.inf, arrays.cover[right] / arrays.cover[at])]))
+                missing = bool(arrays.missing[at])
+                stack.append((left, path + [(feature, -math.inf, cut, arrays.cover[left] / arrays.cover[at], missing)]))
+                stack.append((right, path + [(feature, cut, math.inf, arrays.cover[right] / arrays.cover[at], not missing)]))
 
     def explain(self, values: np.ndarray) -> np.ndarray:
         terms = np.zeros((len(values), self.width))
