@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schema as S
-from tidemark.operators import boosting, contributions as C, curves as R
+from tidemark.operators import boosting, contributions as C, curves as R, leafwise
 from tidemark.plans import reports, scoring, training
 from tidemark.session import fresh_path
 from tidemark.settings import Settings
@@ -16,7 +16,7 @@ SETTINGS = Settings(test_size=0.2, val_size=0.2, max_rounds=4, patience=2, fores
 
 @pytest.fixture(scope="module")
 def model(merged):
-    return training.train(merged, SETTINGS, boosting.BoostParams(max_depth=2, min_rows_per_leaf=2))
+    return training.train(merged, SETTINGS, leafwise.LeafParams(leaves=4, max_depth=2, min_rows_per_leaf=2))
 
 
 def test_scores_keep_the_contract(merged, model):

@@ -30,6 +30,8 @@ from tidemark.session import written
 
 # Rounds after which the rows' scores are written anew.
 ROUNDS_PER_TABLE = 10
+# Histograms that meet in one task, each a row from every task over the rows.
+GROUPS_PER_TASK = 64
 # Bin of missing values.
 MISSING = 0
 
@@ -86,6 +88,12 @@ def binned(df: DataFrame, features: Sequence[str], cuts: Sequence[np.ndarray], l
     return rows.mapInArrow(run, "bins binary, y double, w double, row bigint")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Binned rows written in even parts, at least one per core: every level of every tree reads them."""
+    parts = max(rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism)
+    return written(rows.repartition(parts, "row"), "binned")
+
+
 # ------------------------------------------------------------------------------ one tree
 
 
@@ -311,7 +319,8 @@ class Booster:
         for table, held in above.items():
             known = table.where((F.col("kind") == _HISTOGRAM) & F.col("node").isin(held))
             found = found.unionByName(known.withColumn("kind", F.lit(1)))
-        level = found.repartition("node", "feature").mapInArrow(meet, _SUMS).persist(StorageLevel.MEMORY_AND_DISK)
+        tasks = math.ceil(len(order) * len(chosen) / GROUPS_PER_TASK)
+        level = found.repartition(tasks, "node", "feature").mapInArrow(meet, _SUMS).persist(StorageLevel.MEMORY_AND_DISK)
         levels.update({child: level for pair in pairs.values() for child in pair if child >= 0})
         # A row per node and task.
         reports: dict[int, tuple] = {}
@@ -377,7 +386,7 @@ def start(train: DataFrame, features: Sequence[str], params: LeafParams, label:
         weight = positive_class_weight(train, label).first()["weight"]
     if cuts is None:
         cuts = fit_cuts(train, features, params.max_bins)
-    return Booster(written(binned(train, features, cuts, label, key, weight), "binned"), features, cuts, params)
+    return Booster(dealt(binned(train, features, cuts, label, key, weight)), features, cuts, params)
 
 
 def fit_leafwise(
@@ -473,7 +482,7 @@ def search_leafwise(
     held = written(validation.select(*keep), "held")
     n_rows = sample.count()
     cuts = fit_cuts(sample, features)
-    rows = written(binned(sample, features, cuts, label, S.KEY, weight), "binned")
+    rows = dealt(binned(sample, features, cuts, label, S.KEY, weight))
     deadline = None if timeout is None else time.monotonic() + timeout
     running = {i: _Trial(Booster(rows, features, cuts, params)) for i, params in enumerate(draw_trials(trials, seed))}
     log, best = [], None

@@ -506,12 +506,106 @@ ORACLES.update({
     "contributions": "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_off FROM events",
     "model_mean_abs": "SELECT CAST(0 AS BIGINT) AS n_negative, CAST(1 AS BIGINT) AS n_score",
     "model_metrics": f"WITH {TX}{split_of('tx')} SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(isFraud) AS BIGINT) AS n_positive, "
-    "CAST(1 AS BIGINT) AS same_threshold FROM sp GROUP BY split",
+    "CAST(1 AS BIGINT) AS same_threshold, CAST(1 AS BIGINT) AS learned FROM sp GROUP BY split",
     "importance": "SELECT CAST(1 AS DOUBLE) AS total, CAST(0 AS BIGINT) AS n_negative",
     "score_batch": f"WITH {TX} SELECT TransactionID, CAST(1 AS BIGINT) AS flag_follows, CAST(3 AS BIGINT) AS n_factors FROM tx "
     "WHERE TransactionAmt > 0 AND TransactionAmt <= 1000000",
     "stream_score": f"WITH {TX} SELECT TransactionID, CAST(1 AS BIGINT) AS equals_batch FROM tx WHERE TransactionAmt > 0 AND TransactionAmt <= 1000000",
     "search_trials": f"WITH {TX}{split_of('tx')}, n AS (SELECT sum(greatest(1, CAST(floor(c * CAST(0.3 AS DOUBLE)) AS BIGINT))) AS n "
-    "FROM (SELECT count(*) AS c FROM train GROUP BY isFraud)) SELECT CAST(t AS BIGINT) AS trial, 'done' AS state, CAST(1 AS BIGINT) AS in_ranges, "
-    "CAST(1 AS BIGINT) AS is_auroc, CAST(n AS BIGINT) AS sample_rows FROM n, range(2) AS r(t)",
+    "FROM (SELECT count(*) AS c FROM train GROUP BY isFraud)) SELECT CAST(rung AS BIGINT) AS rung, CAST(rounds AS BIGINT) AS rounds, "
+    "CAST(1 AS BIGINT) AS in_ranges, CAST(1 AS BIGINT) AS is_auroc, CAST(n AS BIGINT) AS sample_rows, CAST(1 AS BIGINT) AS chosen, CAST(trials AS BIGINT) AS n_trials "
+    "FROM n, (VALUES (0, 2, 4), (1, 6, 2)) AS r(rung, rounds, trials)",
+})
+
+# Fitted trees, fitted again: gradient sums on both sides of every cut, missing values tried on either side.
+_LEAF_CUTS = """
+cuts AS (
+  SELECT 0 AS f, k AS bin, c FROM (VALUES (1, 20.0), (2, 40.0), (3, 60.0), (4, 80.0), (5, 100.0), (6, 130.0), (7, 160.0)) AS a(k, c)
+  UNION ALL SELECT 1, k, c FROM (VALUES (1, 3.0), (2, 6.0), (3, 9.0), (4, 12.0), (5, 15.0), (6, 18.0), (7, 21.0)) AS h(k, c)
+  UNION ALL SELECT 2, k, c FROM (VALUES (1, 5.0), (2, 10.0), (3, 15.0), (4, 20.0), (5, 25.0), (6, 30.0), (7, 35.0)) AS d(k, c)
+)"""
+_LEAF_ROWS = f"""
+counted AS (SELECT count(*) FILTER (WHERE isFraud = 0)::DOUBLE / count(*) FILTER (WHERE isFraud = 1) AS w FROM tx),
+r0 AS MATERIALIZED (
+  SELECT TransactionID, isFraud::DOUBLE AS y, CASE WHEN isFraud = 1 THEN w ELSE 1.0::DOUBLE END AS w, TransactionAmt AS v0, {HOUR}::DOUBLE AS v1, addr1 AS v2,
+    0.0::DOUBLE AS margin, '' AS path
+  FROM tx, counted
+)"""
+
+
+def _gain_term(g: str, h: str) -> str:
+    return f"pow(greatest(abs({g}) - 0.5::DOUBLE, 0), 2) / ({h} + 1.0::DOUBLE)"
+
+
+def _leaf(g: str, h: str) -> str:
+    return f"(-0.3::DOUBLE * sign({g}) * greatest(abs({g}) - 0.5::DOUBLE, 0) / ({h} + 1.0::DOUBLE))"
+
+
+def _best_split(source: str, name: str) -> str:
+    """CTE ``name``: per path of ``source`` the best split, with the sums of both sides."""
+    left = "(v <= c OR (v IS NULL AND side))"
+    return f""",
+{name}_g AS MATERIALIZED (SELECT *, w * (1 / (1 + exp(-margin)) - y) AS g, w / (1 + exp(-margin)) * (1 - 1 / (1 + exp(-margin))) AS h FROM {source}),
+{name}_long AS (
+  SELECT path, 0 AS f, v0 AS v, g, h FROM {name}_g UNION ALL SELECT path, 1, v1, g, h FROM {name}_g UNION ALL SELECT path, 2, v2, g, h FROM {name}_g
+),
+{name}_sides AS (
+  SELECT path, f, bin, c, side, sum(g) FILTER (WHERE {left}) AS gl, sum(h) FILTER (WHERE {left}) AS hl, count(*) FILTER (WHERE {left}) AS nl,
+    sum(g) AS gt, sum(h) AS ht, count(*) AS nt
+  FROM {name}_long JOIN cuts USING (f) CROSS JOIN (VALUES (false), (true)) AS s(side) GROUP BY ALL
+),
+{name} AS MATERIALIZED (
+  SELECT * FROM (
+    SELECT *, {_gain_term('gl', 'hl')} + {_gain_term('(gt - gl)', '(ht - hl)')} - {_gain_term('gt', 'ht')} AS gain FROM {name}_sides WHERE nl >= 20 AND nt - nl >= 20)
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY round(gain, 8) DESC, f, bin, side) = 1 AND gain > 0
+)"""
+
+
+def _goes_left(split: str) -> str:
+    value = f"CASE {split}.f WHEN 0 THEN v0 WHEN 1 THEN v1 ELSE v2 END"
+    return f"({value} <= {split}.c OR ({value} IS NULL AND {split}.side))"
+
+
+_NAME = "CASE f WHEN 0 THEN 'TransactionAmt' WHEN 1 THEN 'hour_of_day' ELSE 'addr1' END"
+_STUMPS = "WITH " + TX + "," + _LEAF_CUTS + "," + _LEAF_ROWS
+for _k in range(3):
+    _STUMPS += _best_split(f"r{_k}", f"b{_k}") + f""",
+r{_k + 1} AS MATERIALIZED (
+  SELECT r.* REPLACE (margin + CASE WHEN {_goes_left('b')} THEN {_leaf('gl', 'hl')} ELSE {_leaf('(gt - gl)', '(ht - hl)')} END AS margin) FROM r{_k} r, b{_k} b
+)"""
+
+# Rows of every tree of the forest: all buckets are read where the first choice of them gave a tree too few rows.
+_A, _B, _C, _P = 48_271, 69_621, 16_807, 2_147_483_647
+
+
+def _hash_steps(source: str, key: str, seed: str, name: str) -> str:
+    """CTE ``name``: ``source`` with the portable hash of a key as ``hash``."""
+    return f"""
+{name}_1 AS (SELECT *, ((({key}) % {_P}) * {_A} + ({seed})::BIGINT * {_C} + 1) % {_P} AS h1 FROM {source}),
+{name}_2 AS (SELECT *, (((h1 * h1) % {_P}) * {_B} + h1) % {_P} AS h2 FROM {name}_1),
+{name} AS MATERIALIZED (SELECT * EXCLUDE (h1, h2), (((h2 * h2) % {_P}) * {_C} + h2) % {_P} AS hash FROM {name}_2)"""
+
+
+ORACLES.update({
+    "leaf_splits": f"WITH {TX},{_LEAF_CUTS},{_LEAF_ROWS}{_best_split('r0', 'top')}, "
+    f"c0 AS MATERIALIZED (SELECT r.* REPLACE (CASE WHEN {_goes_left('t')} THEN 'l' ELSE 'r' END AS path) FROM r0 r, top t){_best_split('c0', 'low')}, "
+    f"inner_nodes AS (SELECT * FROM top UNION ALL SELECT * FROM low), ends AS ("
+    "SELECT path || 'l' AS path, gl AS g, hl AS h, nl AS n FROM inner_nodes UNION ALL SELECT path || 'r', gt - gl, ht - hl, nt - nl FROM inner_nodes) "
+    f"SELECT path, {_NAME} AS feature, c::DOUBLE AS threshold, side AS missing_left, round(gain, 6) AS gain, NULL::DOUBLE AS value, nt::BIGINT AS n_rows FROM inner_nodes "
+    f"UNION ALL SELECT path, NULL, NULL, NULL, NULL, round({_leaf('g', 'h')}, 6), n::BIGINT FROM ends WHERE path NOT IN (SELECT path FROM inner_nodes)",
+    "stump_scores": _STUMPS + " SELECT TransactionID, round(1 / (1 + exp(-margin)), 6) AS probability FROM r3",
+    "stump_importance": _STUMPS + ", gains AS (SELECT f, gain FROM b0 UNION ALL SELECT f, gain FROM b1 UNION ALL SELECT f, gain FROM b2) "
+    f"SELECT {_NAME} AS feature, round(coalesce(sum(gain), 0) / (SELECT sum(gain) FROM gains), 6) AS importance FROM (VALUES (0), (1), (2)) AS a(f) LEFT JOIN gains USING (f) GROUP BY f",
+    "forest_sample": f"WITH {TX}{split_of('tx')}, size AS (SELECT count(*) AS n, greatest(1, count(*) // 8) AS buckets, least(256, count(*)) AS size FROM train), "
+    f"ids AS (SELECT i FROM range(200 * 55) AS r(i)),{_hash_steps('ids', 'i', '2000045', 'picked')}, "
+    "read AS (SELECT DISTINCT i // 55 AS tree, hash % buckets AS bucket FROM picked, size), "
+    f"keys AS (SELECT TransactionID FROM train),{_hash_steps('keys', 'TransactionID', '42', 'bucketed')}, "
+    "chosen AS (SELECT tree, TransactionID FROM (SELECT TransactionID, hash % buckets AS bucket FROM bucketed, size) JOIN read USING (bucket)), "
+    "enough AS (SELECT count(*) = 200 AND min(c) >= max(size) AND 55 < max(buckets) AS ok FROM (SELECT tree, count(*) AS c FROM chosen GROUP BY tree), size), "
+    "open AS (SELECT tree, TransactionID FROM chosen, enough WHERE ok UNION ALL "
+    "SELECT t, TransactionID FROM keys, range(200) AS r(t), enough WHERE NOT ok),"
+    f"{_hash_steps('open', 'TransactionID', 'tree + 1000045', 'ordered')}, "
+    "drawn AS (SELECT tree, TransactionID FROM ordered, size QUALIFY row_number() OVER (PARTITION BY tree ORDER BY hash, TransactionID) <= size) "
+    "SELECT tree::BIGINT AS tree, count(*)::BIGINT AS n_rows, sum(TransactionID)::BIGINT AS key_sum, min(TransactionID)::BIGINT AS first_key, max(TransactionID)::BIGINT AS last_key "
+    "FROM drawn GROUP BY tree",
 })

@@ -7,13 +7,14 @@ digits and whole numbers are BIGINT, so that another engine's answer can be comp
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark import schema as S
 from tidemark.functions import scalars as X
-from tidemark.operators import boosting, contributions as C, curves as R, encoders as E, isolation as I
+from tidemark.operators import boosting, contributions as C, curves as R, encoders as E, isolation as I, leafwise as LW
 from tidemark.operators import joins as J, profile as P, splitting as L, thresholds as H, validate as V
 from tidemark.plans import scoring, training
 from tidemark.session import fresh_path, written
@@ -23,10 +24,10 @@ from tidemark.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# Fixed values of the queries: decision thresholds, and model sizes that suit a test table.
+# Fixed values of the queries: decision threshold, settings of the job, parameters in place of a search.
 THRESHOLD = 0.3
-MODEL_SETTINGS = Settings(max_rounds=8, patience=4)
-MODEL_PARAMS = boosting.BoostParams(max_depth=4)
+MODEL_SETTINGS = Settings()
+MODEL_PARAMS = LW.LeafParams(leaves=15, max_depth=4)
 
 
 def query(build):
@@ -733,6 +734,7 @@ def forget_models() -> None:
 def iforest_nodes(spark, folder):
     """Trees of a forest fitted on the training rows: sampled rows, rows in leaves, shape."""
     table = training.build_features(merged_once(spark, folder))
+    table = replace(table, rows=written(table.split("train"), "features"))
     nodes = training.fit_forest(table, MODEL_SETTINGS).table
     leaf = F.col("feature") < 0
     return nodes.groupBy("tree").agg(
@@ -772,6 +774,8 @@ def model_metrics(spark, folder):
     return metrics.select(
         S.SPLIT, (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n_rows"), (F.col("tp") + F.col("fn")).alias("n_positive"),
         (F.abs(F.lit(threshold) - F.lit(model.bundle.threshold)) < 1e-9).cast("int").alias("same_threshold"),
+        # A model that learned nothing ranks the rows it was fitted on no better than chance.
+        ((F.col(S.SPLIT) != "train") | (F.col("auroc") > 0.65)).cast("int").alias("learned"),
     )
 
 
@@ -786,16 +790,74 @@ def importance(spark, folder):
 
 @query
 def search_trials(spark, folder):
+    """A search by halving: trials and rungs, their parameters inside the ranges, their values."""
     model = trained(spark, folder)
     rows = model.scored
-    log, _ = boosting.search_params(
-        rows.where(F.col(S.SPLIT) == "train"), rows.where(F.col(S.SPLIT) == "val"), model.bundle.features,
-        trials=2, max_rounds=2, patience=2,
+    log, best = LW.search_leafwise(
+        rows.where(F.col(S.SPLIT) == "train"), rows.where(F.col(S.SPLIT) == "val"), model.bundle.features, trials=4, max_rounds=6,
     )
     inside = F.lit(True)
-    for name, (low, high) in boosting.SEARCH_SPACE.items():
+    for name, (low, high) in LW.SEARCH_SPACE.items():
         inside = inside & F.col("params")[name].between(low, high)
-    return log.select("trial", "state", inside.cast("int").alias("in_ranges"), F.col("value").between(0, 1).cast("int").alias("is_auroc"), "sample_rows")
+    top = F.max("value").over(Window.partitionBy())  # a row per trial and rung
+    chosen = (F.col("value") == top) & (F.col("params")["step_size"] == best.step_size)
+    return log.withColumn("chosen", F.max(chosen.cast("int")).over(Window.partitionBy())).select(
+        "rung", "rounds", inside.cast("int").alias("in_ranges"), F.col("value").between(0, 1).cast("int").alias("is_auroc"), "sample_rows", "chosen",
+    ).groupBy("rung", "rounds", "in_ranges", "is_auroc", "sample_rows", "chosen").agg(F.count(F.lit(1)).alias("n_trials"))
+
+
+# Features and cuts of the trees that another engine fits as well.
+LEAF_FEATURES = (S.AMOUNT, "hour_of_day", "addr1")
+LEAF_CUTS = ((20.0, 40.0, 60.0, 80.0, 100.0, 130.0, 160.0), (3.0, 6.0, 9.0, 12.0, 15.0, 18.0, 21.0), (5.0, 10.0, 15.0, 20.0, 25.0, 30.0, 35.0))
+TREE_PARAMS = LW.LeafParams(leaves=4, max_depth=2, step_size=0.3, min_rows_per_leaf=20, feature_share=1, row_share=1, l1=0.5, l2=1.0)
+STUMP_PARAMS = replace(TREE_PARAMS, leaves=2, max_depth=1)
+STUMP_ROUNDS = 3
+
+
+def leaf_rows(spark, folder) -> DataFrame:
+    rows = tx(spark, folder)
+    return rows.select(S.KEY, S.LABEL, S.AMOUNT, X.hour_of_day(F.col(S.TIME)).cast("double").alias("hour_of_day"), "addr1")
+
+
+def stump_trees(spark, folder) -> boosting.Ensemble:
+    return LW.start(leaf_rows(spark, folder), LEAF_FEATURES, STUMP_PARAMS, cuts=LEAF_CUTS).advance(STUMP_ROUNDS).ensemble()
+
+
+@query
+def leaf_splits(spark, folder):
+    """Nodes of one tree with L1/L2 terms over features with missing values, named by their path."""
+    nodes = LW.start(leaf_rows(spark, folder), LEAF_FEATURES, TREE_PARAMS, cuts=LEAF_CUTS).advance(1).ensemble().nodes
+    paths = {0: ""}
+    for x in nodes.itertuples():
+        if x.feature >= 0:
+            paths |= {x.left: paths[x.node] + "l", x.right: paths[x.node] + "r"}
+    rows = [
+        (paths[x.node], *((LEAF_FEATURES[x.feature], float(x.threshold), bool(x.missing), float(x.gain), None) if x.feature >= 0 else (None, None, None, None, float(x.value))), int(x.cover))
+        for x in nodes.itertuples()
+    ]
+    return spark.createDataFrame(rows, "path string, feature string, threshold double, missing_left boolean, gain double, value double, n_rows bigint")
+
+
+@query
+def stump_scores(spark, folder):
+    """Probability of every transaction after three rounds of boosted stumps."""
+    return boosting.predict(leaf_rows(spark, folder), stump_trees(spark, folder)).select(S.KEY, "probability")
+
+
+@query
+def stump_importance(spark, folder):
+    """Shares of the features in the gain of these stumps."""
+    return boosting.importance(stump_trees(spark, folder), spark, len(LEAF_FEATURES))
+
+
+@query
+def forest_sample(spark, folder):
+    """Which training rows every tree of a forest draws: how many, the sum and the ends of their keys."""
+    _, train = train_rows(spark, folder)
+    drawn = I.tree_samples(train, S.KEY, [S.AMOUNT], MODEL_SETTINGS.forest_trees, MODEL_SETTINGS.forest_sample, MODEL_SETTINGS.seed, train.count())
+    return drawn.groupBy("tree").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(S.KEY).alias("key_sum"), F.min(S.KEY).alias("first_key"), F.max(S.KEY).alias("last_key")
+    )
 
 
 @query

@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import schema as S
-from tidemark.operators import boosting, contributions, encoders, thresholds
+from tidemark.operators import boosting, contributions, encoders, leafwise, thresholds
 from tidemark.operators.curves import metrics_by_group
 from tidemark.operators.isolation import AnomalyForest, AnomalyForestModel
 from tidemark.operators.splitting import TemporalSplitModel, TemporalSplitter
@@ -109,7 +109,7 @@ def fit_forest(table: FeatureTable, settings: Settings) -> AnomalyForestModel:
     return forest.fit(table.split("train"))
 
 
-def train(merged: DataFrame, settings: Settings = Settings(), params: boosting.BoostParams | None = None) -> Trained:
+def train(merged: DataFrame, settings: Settings = Settings(), params: leafwise.LeafParams | None = None) -> Trained:
     """Fit the whole chain; with no ``params`` the search picks them."""
     spark = merged.sparkSession
     table = build_features(merged, settings)
@@ -121,12 +121,12 @@ def train(merged: DataFrame, settings: Settings = Settings(), params: boosting.B
     fit_rows, held = rows.where(F.col(S.SPLIT) == "train"), rows.where(F.col(S.SPLIT) == "val")
     log = None
     if params is None:
-        log, params = boosting.search_params(
+        log, params = leafwise.search_leafwise(
             fit_rows, held, features, settings.search_trials, sample_fraction=settings.search_sample,
             max_rounds=settings.search_rounds, patience=settings.search_patience, seed=settings.seed,
             timeout=settings.search_timeout,
         )
-    trees = boosting.fit_boosted(
+    trees = leafwise.fit_leafwise(
         fit_rows, held, features, params, max_rounds=settings.max_rounds, patience=settings.patience
     )
     scored = written(boosting.predict(rows, trees), "scored")
