@@ -23,7 +23,7 @@ def components(links: DataFrame) -> DataFrame:
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links"
     )
     state = _state(edges)
-    while True:
+    while state[0]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")), "least")
         large = written(

@@ -174,13 +174,13 @@ def _alike(a, b, similarity: float) -> bool:
 
 
 def _unit_lists(texts: DataFrame) -> DataFrame:
-    """``doc_id, units``: 32 bits of each region, regions of first occurrences in front, and how many those are."""
+    """``doc_id, units``: the regions, those of first occurrences in front, and how many these are."""
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for part in slices(batches):
             of, hashes, occurrence = shingles(*text_buffer(part.column(1)))
-            units = (regions(hashes, occurrence) >> np.uint64(32)).astype("<u4")
+            units = regions(hashes, occurrence).astype("<u8")
             order = np.lexsort((occurrence > 0, of))
             of, units, occurrence = of[order], units[order], occurrence[order]
             bounds = np.searchsorted(of, np.arange(part.num_rows + 1))
@@ -197,7 +197,7 @@ class _Block:
     def __init__(self, rows: list[dict]):
         self.ids = [r["doc_id"] for r in rows]
         self.component = np.array([r["component"] for r in rows])
-        self.lists = [np.frombuffer(r["units"], "<u4") for r in rows]
+        self.lists = [np.frombuffer(r["units"], "<u8") for r in rows]
         self.n_first = np.array([r["n_first"] for r in rows])
         self.size = np.array([len(units) for units in self.lists])
         owner = np.repeat(np.arange(len(rows)), self.size)
@@ -219,10 +219,11 @@ class _Block:
 
 
 def _across(rest: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``a < b`` of one bucket and different classes that look similar by 32-bit units.
+    """Links ``a, b`` between the classes of a bucket: one for every two classes with similar members, or more.
 
     Buckets are dealt into blocks of BLOCK members by a hash of the id; a task compares two
-    blocks, and of those only members outside the blocks' commonest class with the rest.
+    blocks, and of those only members outside the blocks' commonest class with the rest. Members
+    are compared by their whole regions, so that what is found needs no further look.
     """
     kind = rest.schema["doc_id"].dataType.simpleString()
     ids = rest.select("doc_id").distinct()
@@ -238,7 +239,7 @@ def _across(rest: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            pairs = []
+            pairs = set()
             for i in range(batch.num_rows):
                 a = _Block(batch.column(0)[i].as_py())
                 b = _Block(other) if (other := batch.column(1)[i].as_py()) else a
@@ -247,12 +248,13 @@ def _across(rest: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
                 for one, two in ((a, b), (b, a)) if b is not a else ((a, a),):
                     for at in np.flatnonzero(one.component != main).tolist():
                         alike = two.like(one.lists[at], one.n_first[at], similarity) & (two.component != one.component[at])
-                        pairs += [(one.ids[at], two.ids[j]) for j in np.flatnonzero(alike).tolist()]
-            pairs = sorted({(min(p), max(p)) for p in pairs})
+                        own = one.component[at]
+                        pairs.update((min(own, other), max(own, other)) for other in set(two.component[alike].tolist()))
             kind_of = batch.column(0).type.value_type.field("doc_id").type
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], kind_of), pa.array([p[1] for p in pairs], kind_of)], names=["a", "b"])
+            first, second = zip(*sorted(pairs)) if pairs else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(first, kind_of), pa.array(second, kind_of)], names=["a", "b"])
 
-    return alone.union(two).mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return alone.union(two).mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -286,16 +288,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     )
     mixed = written(placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band"), "mixed")
     rest = written(placed.join(mixed, "band"), "rest")
-    across = written(_across(rest, texts, similarity).join(pairs, ["a", "b"], "left_anti"), "pairs-across")
-    found = written(verify(across, texts, similarity), "verified-across")
-    if not found.isEmpty():
-        of = written(components(links.union(found)), "components")
+    # Links between classes join their classes: the members' own links are not walked again.
+    joined = components(written(_across(rest, texts, similarity), "links-across"))
     copies = written(nodes.where("n > 1").select("copy", F.col("first.doc_id").alias("first")), "copies")
     named = signed.select("doc_id", F.when(F.col("bands").isNotNull(), F.col("copy")).alias("copy")).join(copies, "copy", "left").select(
         "doc_id", F.coalesce("first", "doc_id").alias("node")
     )
-    classed = named.join(of, F.col("node") == F.col("id"), "left").select("doc_id", F.coalesce("component", "node").alias("class_id"))
-    return classed.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
+    classed = named.join(of, F.col("node") == F.col("id"), "left").select("doc_id", F.coalesce("component", "node").alias("class"))
+    joined = joined.select(F.col("id").alias("class"), "component")
+    final = classed.join(joined, "class", "left").select("doc_id", F.coalesce("component", "class").alias("class_id"))
+    return final.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
