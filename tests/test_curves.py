@@ -123,6 +123,18 @@ def test_best_so_far(spark):
     assert [r["best"] for r in H.best_so_far(df, "trial", "value").orderBy("trial").collect()] == [0.5, 0.5, 0.7, 0.7]
 
 
+def test_histograms_of_many_groups_equal_planned_ones(skewed, monkeypatch):
+    df, _ = skewed
+    wide = df.withColumn("g", F.when(F.col("id") % 7 > 0, (F.col("id") % 23).cast("string")))
+    planned = sorted(map(tuple, P.histogram(wide, "score", 5, ["g"]).collect()), key=repr)
+    monkeypatch.setattr(P, "PLANNED_GROUPS", 3)
+    joined = sorted(map(tuple, P.histogram(wide, "score", 5, ["g"]).collect()), key=repr)
+    assert [(r[0], r[1], r[2]) for r in joined] == [(r[0], r[1], r[2]) for r in planned]
+    assert [r[3:] for r in joined] == [pytest.approx(r[3:]) for r in planned]
+    within = P.histogram(wide, "score", 5, ["g"], span=(0.2, 0.8)).agg(F.sum("n_rows")).first()[0]
+    assert within == wide.where(F.col("score").between(0.2, 0.8)).count()
+
+
 def test_histogram_counts_every_value_once(skewed):
     df, frame = skewed
     for g, part in frame.groupby("g"):

@@ -107,3 +107,15 @@ def test_row_level_windows_are_partitioned_and_nothing_is_crossed(skewed):
         for line in plan.splitlines():
             if line.strip().lstrip("+-:* ").startswith("Window") and "score" in line:
                 assert "[_bucket" in line
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp"])
+def test_ranks_of_tied_rows_follow_keys_of_any_type(spark, kind):
+    """Two thirds share a score, so that their bucket is divided by key ranges."""
+    text = {"string": "concat('k', lpad(cast(id * 7 % 600 as string), 9, '0'))", "date": "date_add(date'2020-01-01', cast(id * 7 % 600 as int))",
+            "timestamp": "timestamp_seconds(id * 7 % 600 * 5000)"}[kind]
+    rows = spark.range(600).selectExpr(f"{text} AS k", "CASE WHEN id % 3 > 0 THEN 0.5D ELSE id / 600D END AS s", "CAST(id % 5 = 0 AS INT) AS y")
+    got = ranked_rows(rows, "s", "k", "y", buckets=12).orderBy("rank").collect()
+    expected = sorted(rows.collect(), key=lambda r: (-r["s"], r["k"]))
+    assert [(r["key"], r["rank"]) for r in got] == [(r["k"], i + 1) for i, r in enumerate(expected)]
+    assert got[-1]["pos_upto"] == sum(r["y"] for r in expected)

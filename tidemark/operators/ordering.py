@@ -429,6 +429,17 @@ def score_ladder(
     )
 
 
+def _key_place(rows: DataFrame) -> Column:
+    """A number that never falls as ``key`` grows, whatever its type; equal for keys that share six bytes."""
+    kind = rows.schema["key"].dataType
+    if isinstance(kind, (T.NumericType, T.TimestampType)):
+        return F.col("key").cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date("key").cast("double")
+    head = F.rpad(F.hex(F.substring(F.col("key").cast("string").cast("binary"), 1, 6)), 12, "0")
+    return F.conv(head, 16, 10).cast("double")
+
+
 def ranked_rows(
     df: DataFrame, score: str, key: str, label: str, buckets: int | None = None
 ) -> DataFrame:
@@ -451,8 +462,9 @@ def ranked_rows(
         # A hot score gets as many key ranges as it fills buckets: ranges add up to the buckets.
         filled = {h: points.count(h) + 1 for h in hot}
         most = max(filled.values())
-        key_points = _split_points(rows.where(is_hot), F.col("key"), most)
-        keyed = bucketed.withColumn("_key", F.col("key").cast("double"))
+        place = _key_place(rows)
+        key_points = _split_points(rows.where(is_hot), place, most)
+        keyed = bucketed.withColumn("_key", F.coalesce(place, F.lit(-math.inf)))
         bucketed = _bucketize(keyed, "_key", "_range", key_points).drop("_key")
         share = df.sparkSession.createDataFrame([(h, n / most) for h, n in filled.items()], "_hot double, _share double")
         bucketed = bucketed.join(F.broadcast(share), F.col("score") == F.col("_hot"), "left").withColumn(

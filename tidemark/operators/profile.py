@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tidemark import schema as S
 from tidemark.functions import scalars as X, sqltext as sql
 from tidemark.operators.ordering import exact_quantiles
+from tidemark.session import written
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -243,26 +244,27 @@ def weekly_rate(df: DataFrame, label: str = S.LABEL, time: str = S.TIME) -> Data
     )
 
 
-# Groups of a histogram: their ranges are part of its plan.
-MAX_GROUPS = 200
+# Groups of a histogram whose ranges are part of its plan; those of more are joined by group.
+PLANNED_GROUPS = 200
 
 
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = (), span: tuple[float, float] | None = None) -> DataFrame:
     """Density over equal-width bins of each group's own range; the last bin is closed.
 
     Empty bins have no row. A constant group falls in a unit-wide range around its value.
-    Rows whose group is NULL are a group of their own. Histograms are drawn for a handful of
-    groups, whose ranges go into the plan as literals: rows are counted per bin before any
-    shuffle, so that a group of nearly all rows is no heavier than another.
+    Rows whose group is NULL are a group of their own. The ranges of a handful of groups go into
+    the plan as literals: rows are counted per bin before any shuffle, so that a group of nearly
+    all rows is no heavier than another. The ranges of more groups are written and joined by
+    group; Spark broadcasts them while they are small.
     """
     x = F.col(column).cast("double")
     rows = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x"))
     if span is not None:
         rows = rows.where(F.col("_x").between(*span))
     found = rows.groupBy(*by).agg(F.min("_x").alias("_a"), F.max("_x").alias("_b"), F.count("_x").alias("_n"))
-    ranges = found.limit(MAX_GROUPS + 1).collect()
-    if len(ranges) > MAX_GROUPS:
-        raise ValueError(f"a histogram is for at most {MAX_GROUPS} groups")
+    ranges = found.limit(PLANNED_GROUPS + 1).collect()
+    if len(ranges) > PLANNED_GROUPS:
+        return _joined_histogram(rows, found, bins, by, span)
     low = width = total = F.lit(None).cast("double")
     for row in ranges:
         a, b = (row["_a"], row["_b"]) if span is None else map(float, span)
@@ -282,6 +284,24 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = (), spa
     )
 
 
+def _joined_histogram(rows: DataFrame, ranges: DataFrame, bins: int, by: Sequence[str], span: tuple[float, float] | None) -> DataFrame:
+    """The same for any number of groups: ranges are joined to the rows, NULL groups too."""
+    a, b = ("_a", "_b") if span is None else (F.lit(float(span[0])), F.lit(float(span[1])))
+    a, b = (F.col(a), F.col(b)) if span is None else (a, b)
+    wide = F.when(a == b, 1.0).otherwise(b - a)
+    known = written(ranges.select(
+        *[F.col(name).alias(f"_by{i}") for i, name in enumerate(by)], F.when(a == b, a - 0.5).otherwise(a).alias("_low"), (wide / bins).alias("_width"), "_n"
+    ), "ranges")
+    same = F.lit(True)
+    for i, name in enumerate(by):
+        same = same & F.col(name).eqNullSafe(F.col(f"_by{i}"))
+    bin_index = F.least(F.floor((F.col("_x") - F.col("_low")) / F.col("_width")), F.lit(bins - 1)).cast("int")
+    held = rows.join(known, same).groupBy(*by, "_low", "_width", "_n", bin_index.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return held.select(
+        *by, "bin", "n_rows", (F.col("_low") + F.col("bin") * F.col("_width")).alias("left"), (F.col("n_rows") / (F.col("_n") * F.col("_width"))).alias("density")
+    )
+
+
 def missing_rate_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
     """Columns per missing-rate bin over [0, 1], complete columns left out."""
     rates = missing_profile(df).where(F.col("missing_rate") > 0)

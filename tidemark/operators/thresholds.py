@@ -72,7 +72,7 @@ def best_threshold(
     curve = threshold_curve(df, score, label, grid, by)
     best = F.max(F.struct(F.col("f1"), (-F.col("threshold")).alias("t"))).alias("best")
     return curve.groupBy(*by).agg(best).where(F.col("best").isNotNull()).select(
-        *by, F.round(-F.col("best.t"), 2).alias("threshold"), F.col("best.f1").alias("f1")
+        *by, F.round(-F.col("best.t"), 6).alias("threshold"), F.col("best.f1").alias("f1")
     )
 
 
