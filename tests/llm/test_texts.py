@@ -10,9 +10,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from llm_fixtures import ODD, documents, prose
 from tidemark.llm import byte_bpe, decontaminate, language_id, pii, quality_classifier, quality_rules, token_counts
+from tidemark.llm.text import lowest_hashes
 
 
 # ------------------------------------------------------------------------------------ language
@@ -29,7 +31,7 @@ def test_phrases_equal_a_plain_parse():
     sample = {"a": [prose(1, 200)], "b": [prose(2, 200).replace("e", "ö")]}
     model = language_id.Model(sample, 700)
     learned = {k: "".join(map(chr, language_id.normal_codes(v[0] + " ")[:700])) for k, v in sample.items()}
-    text = prose(3, 300) + " öö ÿ " + prose(4, 60)
+    text = "ÿ " + prose(3, 300) + " öö ÿ " + prose(4, 60)
     codes = language_id.normal_codes(text)
     plain = "".join(map(chr, codes))
     alphabet = set("".join(learned.values()))
@@ -47,6 +49,38 @@ def test_phrases_equal_a_plain_parse():
     assert alphabet and model.phrases(model.code[codes], np.array([0, len(codes)])).tolist() == [expected]
 
 
+def scripted(seed, n, shift):
+    """Prose in letters of a script of its own."""
+    return "".join(chr(ord(c) + shift) if c.isalpha() else c for c in prose(seed, n))
+
+
+def test_rare_scripts_long_texts_and_copies_are_learned(spark):
+    shifts = {"aa": 0, "bb": 0x3B1 - 97, "cc": 0x430 - 97, "dd": 0x561 - 97, "ee": 0x10D0 - 97, "ff": 0x4E00}
+    rows = [(n, scripted(n + 1_000 * k, 60, shift), lang, "s", 0) for k, (lang, shift) in enumerate(shifts.items())
+            for n in range(40 if lang in ("aa", "bb", "cc", "dd") else 3)]
+    # Few long texts, and one text copied many times beside a few others.
+    rows += [(n, scripted(n + 7_000, 3_000, 0x5D0 - 97), "gg", "s", 0) for n in range(3)]
+    rows += [(n, scripted(8_000 + max(0, n - 296), 60, 0x904 - 97), "hh", "s", 0) for n in range(300)]
+    shifts |= {"gg": 0x5D0 - 97, "hh": 0x904 - 97}
+    docs = documents(spark, rows)
+    model = language_id.fit(docs, 2_000)
+    assert model.languages == sorted(shifts)
+    fresh = documents(spark, [(n, scripted(n + 9_000, 40, shift), lang, "s", 0) for lang, shift in shifts.items() for n in range(20)])
+    assert language_id.identify(fresh, model).where("lang <> lang_pred").count() == 0
+    assert len(model.cells) < 3 * np.count_nonzero(model.cells) + 4 * model.size
+
+
+def test_hash_samples_hold_the_lowest_distinct_texts(spark):
+    rows = [(n, f"text {n % 900}", "xy"[n % 3 == 0], "s", 0) for n in range(1_800)]
+    docs = documents(spark, rows)
+    for by, size, enough in (("lang", F.lit(1), 50), ("lang", F.length("text"), 10_000_000)):
+        hashed = docs.selectExpr("text", "lang", "shiftrightunsigned(xxhash64(text), 2) AS draw").distinct().collect()
+        for group in "xy":
+            got = {r["draw"] for r in lowest_hashes(docs, by, size, enough).where(F.col("lang") == group).collect()}
+            all_of = sorted(r["draw"] for r in hashed if r["lang"] == group)
+            assert got == set(all_of[: len(got)]) and (50 <= len(got) < 90 if enough == 50 else len(got) == len(all_of))
+
+
 def test_languages_of_odd_rows(odd, none):
     rows = language_id.identify(odd, language_id.fit(odd)).collect()
     assert len(rows) == len(ODD) and {r["lang_pred"] for r in rows if r["doc_id"] in (1, 2, 3)} == {"und"}
@@ -335,6 +369,33 @@ def test_windows_agree_with_one_long_window(network, monkeypatch):
     assert (cut == pii.tag_texts(network, [text])[0]).mean() > 0.995
 
 
+def test_network_learns_where_spans_are_rare(spark):
+    """One text in 200 holds a span; of 2,000 drawn from all with a digit, some ten would."""
+    rows = []
+    for n in range(40_000):
+        one, two, three = prose(n, 3).replace(".", "").split()[:3]
+        span = f"{one}{n % 7}@{two}.example" if n % 400 else f"{one}.{two}@{three}.example"
+        rows.append((n, f"{one} {two} write to {span} {three} or to 10.{n % 251}.{n % 83}.7 {two}" if n % 200 == 0 else f"{one} {two} in {n} of 12 {three}"))
+    net = pii.fit(documents(spark, rows))
+    assert net is not None
+    text = "amber birch write to cedar.delta@fjord.example ember or to 10.9.8.7 grove"
+    tags = pii.tag_texts(net, [text])[0]
+    for kind, a, b in pii.base_spans(text):
+        assert (tags[a:b] == kind + 1).mean() > 0.8
+
+
+def test_signs_match_wherever_the_patterns_do(spark):
+    texts = ["x a.b@c-d.ef", "a@b-.c", "1.2.3.4", "256.1.1.300", "4111 1111-1111 1111", "+1 (017) 555-7713", "+12345678", "a@b", "1.2.3", "", "+1 2 3"]
+    signs = {r["text"]: r["s"] for r in documents(spark, list(enumerate(texts))).select("text", F.col("text").rlike(pii.SIGNS).alias("s")).collect()}
+    assert all(signs[t] for t in texts if pii.base_spans(t)) and not any(signs[t] for t in ("a@b", "1.2.3", "", "+1 2 3"))
+
+
+def test_redacting_keeps_columns_of_any_name(spark, network):
+    docs = documents(spark, [(1, "to a.b@c.example")]).selectExpr("*", "7 AS pii_spans", "8 AS PII_SPANS_")
+    row = pii.redact(docs, network).first()
+    assert (row["text"], row["pii_spans"], row["PII_SPANS_"]) == ("to [email]", 7, 8)
+
+
 def test_spans_of_odd_rows(odd, none, network):
     for net in (network, None):
         rows = pii.find_spans(odd, net).collect()

@@ -2,23 +2,25 @@
 
 Per language, labelled text becomes a suffix automaton. A text is parsed against each of them
 into longest matches, and the language whose automaton needs the fewest phrases per character
-wins. The automata are dense transition tables, so that NumPy walks all segments of a slice of
-texts in lockstep.
+wins. The transitions of all automata lie in one packed table, whatever the number of characters
+and scripts, so that NumPy walks all segments of a slice of texts in lockstep.
 """
 
 from __future__ import annotations
 
 import functools
+import random
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.llm.text import extended
+from tidemark.llm.text import extended, lowest_hashes
 
 # Labelled characters per language that are learned: the bound of the training sample.
 SAMPLE_CHARS = 50_000
-ALPHABET = 60
+# What one text may give of them before all others drawn have given as much.
+TEXT_SHARE = 10
 # A parse begins anew after so many characters, for all languages alike.
 SEGMENT = 1_024
 UNKNOWN = "und"
@@ -43,8 +45,8 @@ def normal_codes(text: str) -> np.ndarray:
     return np.where(letter, codes, 32)[keep]
 
 
-def suffix_automaton(codes: list[int], size: int) -> np.ndarray:
-    """Dense transitions (states x size) of all substrings; state 0 is the start, 0 means none."""
+def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
+    """Transitions by state of all substrings; state 0 is the start."""
     nexts: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes:
@@ -70,33 +72,70 @@ def suffix_automaton(codes: list[int], size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[current] = clone
         last = current
-    table = np.zeros((len(nexts), size), np.int32)
-    for state, row in enumerate(nexts):
-        for c, target in row.items():
-            table[state, c] = target
-    return table
+    return nexts
+
+
+def packed(states: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each state's transitions begin, and the cells: state << 32 | target, at begin + code.
+
+    States share cells by displacement; a cell belongs to the state that it names. The table takes
+    little more than a cell a transition and does not grow with states x characters.
+    """
+    edges = sum(map(len, states))
+    room = edges + edges // 2 + width
+    used = bytearray(room + width + 1)
+    begin = np.zeros(len(states), np.int32)
+    draw = random.Random(3)
+    order = sorted((n for n, row in enumerate(states) if len(row) > 1), key=lambda n: -len(states[n]))
+    for n in order:
+        codes = list(states[n])
+        for _ in range(200):
+            at = draw.randrange(room)
+            if not any(used[at + c] for c in codes):
+                break
+        else:  # no fit was drawn: cells of its own at the end
+            at = len(used)
+            used.extend(bytes(width + 1))
+        begin[n] = at
+        for c in codes:
+            used[at + c] = 1
+    cells = np.zeros(len(used), np.int64)
+    for n in order:
+        for c, target in states[n].items():
+            cells[begin[n] + c] = n << 32 | target
+    single = [(n, c, target) for n, row in enumerate(states) if len(row) == 1 for c, target in row.items()]
+    if single:
+        n, c, target = (np.array(x, np.int64) for x in zip(*single))
+        free = np.flatnonzero(np.frombuffer(used, np.uint8)[width : len(used) - width] == 0)[: len(n)] + width
+        if len(free) < len(n):
+            more = np.arange(len(n) - len(free)) + len(cells)
+            cells = np.concatenate([cells, np.zeros(len(more) + width + 1, np.int64)])
+            free = np.concatenate([free, more])
+        begin[n] = free - c
+        cells[free] = n << 32 | target
+    return begin, cells
 
 
 class Model:
-    """Automata of all languages in one table, over the most frequent characters."""
+    """Automata of all languages in one table, over all characters of their samples."""
 
     def __init__(self, samples: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS):
         texts = {lang: np.concatenate([normal_codes(t + " ") for t in parts])[:sample_chars] for lang, parts in sorted(samples.items())}
         self.languages = [lang for lang, codes in texts.items() if len(codes)]
-        found, counts = np.unique(np.concatenate([texts[lang] for lang in self.languages] or [np.zeros(0, np.uint32)]), return_counts=True)
-        common = found[np.lexsort((found, -counts))][: ALPHABET - 1]
-        self.size = len(common) + 1  # the last code is for all other characters, which nothing matches
-        self.code = np.full(0x110000, len(common), np.uint8)
-        self.code[common] = np.arange(len(common))
-        tables, roots, base = [np.zeros((1, self.size), np.int32)], [], 1
+        known = np.unique(np.concatenate([texts[lang] for lang in self.languages] or [np.zeros(0, np.uint32)]))
+        self.size = len(known) + 1  # the last code is for all characters that no sample holds
+        self.code = np.full(0x110000, len(known), np.int32)
+        self.code[known] = np.arange(len(known))
+        states, roots = [{}], []  # state 0 is none
         for lang in self.languages:
-            codes = self.code[texts[lang]]
-            table = suffix_automaton(codes[codes < len(common)].tolist(), self.size)
+            base = len(states)
             roots.append(base)
-            tables.append(np.where(table > 0, table + base, 0).astype(np.int32))
-            base += len(table)
-        self.table = np.concatenate(tables).ravel()
-        self.roots = np.array(roots, np.int32)
+            states += [{c: target + base for c, target in row.items()} for row in suffix_automaton(self.code[texts[lang]].tolist())]
+        self.begin, self.cells = packed(states, self.size)
+        self.first = np.zeros((len(roots), self.size), np.int32)
+        for n, root in enumerate(roots):
+            for c, target in states[root].items():
+                self.first[n, c] = target
 
     def phrases(self, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Phrases per text and language; text i has the codes bounds[i] to bounds[i + 1]."""
@@ -118,22 +157,22 @@ class Model:
 
     def _walk(self, codes: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
         alive = len(length) - np.searchsorted(length[::-1], np.arange(length[0]), "right")
-        first = self.table.reshape(-1, self.size)[self.roots]
-        state = np.repeat(self.roots[:, None], len(begin), 1)
-        count = np.ones(state.shape, np.int32)
+        state = np.zeros((len(self.languages), len(begin)), np.int32)
+        count = np.zeros(state.shape, np.int32)
         for step in range(int(length[0])):
             m = alive[step]
-            c = codes[begin[:m] + step].astype(np.int32)
-            follow = self.table[state[:, :m] * np.int32(self.size) + c]
-            missed = follow == 0
+            c = codes[begin[:m] + step]
+            cell = self.cells[self.begin[state[:, :m]] + c]
+            follow = (cell & 0xFFFFFFFF).astype(np.int32)
+            missed = (cell >> 32 != state[:, :m]) | (follow == 0)
             count[:, :m] += missed
-            np.copyto(follow, first[:, c], where=missed)
+            np.copyto(follow, self.first[:, c], where=missed)
             state[:, :m] = follow
         return count
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and score of every text; score is 1 less best over runner-up entropy."""
-        parts = [self.code[normal_codes(text)] if text else np.zeros(0, np.uint8) for text in texts]
+        parts = [self.code[normal_codes(text)] if text else np.zeros(0, np.int32) for text in texts]
         bounds = np.cumsum([0] + [len(part) for part in parts])
         if not self.languages or not bounds[-1]:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
@@ -149,19 +188,21 @@ class Model:
 def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> Model:
     """Learn from ``text`` and ``lang`` of the rows given; rows with a null in either are left out.
 
-    About ``2 * sample_chars`` characters a language reach the driver: rows whose hash falls below
-    the language's share, whole texts in order of that hash; learning stops at ``sample_chars``.
+    Every language is learned of which some text holds a letter, however rare, long or repeated
+    its texts are: distinct texts in order of their hash, until they have ``sample_chars``
+    characters, of which one text counts for a tenth at most. What one has beyond that is learned
+    only where the language has too few others. At most about ``12 * sample_chars`` characters a
+    language reach the driver.
     """
-    known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
-    sizes = known.groupBy("lang").agg(F.sum(F.length("text").cast("double")).alias("n")).collect()
-    keep = F.lit(False)
-    for row in sizes:
-        keep = keep | ((F.col("lang") == row["lang"]) & (draw < int(min(1.0, 2 * sample_chars / max(row["n"], 1)) * 1_000_000)))
-    drawn = known.where(keep).select("lang", "text", draw.alias("draw")).collect()
-    samples: dict[str, list[str]] = {}
-    for row in sorted(drawn, key=lambda r: (r["draw"], r["text"])):
-        samples.setdefault(row["lang"], []).append(row["text"])
+    share = max(1, sample_chars // TEXT_SHARE)
+    known = docs.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull()).select("text", "lang")
+    rows = lowest_hashes(known, "lang", F.least(F.length("text"), F.lit(share)), sample_chars)
+    drawn: dict[str, list[str]] = {}
+    for row in rows.select("lang", "draw", F.substring("text", 1, sample_chars).alias("text")).orderBy("lang", "draw").collect():
+        drawn.setdefault(row["lang"], []).append(row["text"])
+    samples = {}
+    for lang, texts in drawn.items():
+        samples[lang] = [part for at in range(0, sample_chars, share) for t in texts if (part := t[at : at + share])]
     return Model(samples, sample_chars)
 
 

@@ -17,12 +17,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.text import extended
+from tidemark.llm.text import extended, lowest_hashes
 
 KINDS = ("email", "ip", "card", "phone")
-# Texts of the training sample, and windows made of them.
-SAMPLE_TEXTS, SAMPLE_WINDOWS = 2_000, 3_000
+# Texts of the training sample, how many of them may lack a span, and windows made of them.
+SAMPLE_TEXTS, QUIET_TEXTS, SAMPLE_WINDOWS = 2_000, 800, 3_000
+# A corpus whose sample of matching texts holds fewer spans has none to learn from.
 LEAST_SPANS = 20
+# Signs of a span: every text with one has a match of these, and few others have.
+SIGNS = (
+    "[A-Za-z0-9._%+-]@[A-Za-z0-9-]+[.][A-Za-z0-9-]|[0-9][.][0-9]+[.][0-9]+[.][0-9]"
+    "|[0-9]([\\x20-]?[0-9]){15}|[+][0-9][\\x20().0-9-]{6,}[0-9]"
+)
 HIDDEN = 8
 WINDOW, OVERLAP = 256, 64
 TRAIN_WINDOW = 80
@@ -308,13 +314,17 @@ def training_windows(texts: list[str], seed: int = 5) -> list[tuple[np.ndarray,
 
 
 def fit(docs: DataFrame) -> Network | None:
-    """Train on a hash-drawn sample of SAMPLE_TEXTS texts; None if the patterns label too few spans."""
-    marked = docs.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("draw"))
-    n = marked.count()
-    share = min(1.0, 2 * SAMPLE_TEXTS / max(n, 1))
-    lowest = -(2**63) + int(share * (2**64 - 1))
-    drawn = marked.where(F.col("draw") <= min(lowest, 2**63 - 1)).dropDuplicates(["draw", "text"]).orderBy("draw", "text").limit(SAMPLE_TEXTS)
-    windows = training_windows([row["text"] for row in drawn.collect()])
+    """Train on a hash-drawn sample of about SAMPLE_TEXTS distinct texts.
+
+    All but QUIET_TEXTS of them are drawn from the texts that show signs of a span, however rare
+    these are; the quiet ones from others with a digit or ``@``. None if the sample holds fewer
+    than LEAST_SPANS spans, as only a corpus does that has hardly any.
+    """
+    marked = docs.where(F.col("text").rlike("[0-9@]")).select("text", F.col("text").rlike(SIGNS).alias("signs"))
+    # A text weighs as much as the other group's number of texts: both groups reach the product.
+    weight = F.when(F.col("signs"), QUIET_TEXTS).otherwise(SAMPLE_TEXTS - QUIET_TEXTS)
+    drawn = lowest_hashes(marked, "signs", weight, QUIET_TEXTS * (SAMPLE_TEXTS - QUIET_TEXTS))
+    windows = training_windows([row["text"] for row in drawn.orderBy("signs", "draw").select("text").collect()])
     return train(windows) if windows else None
 
 
@@ -408,14 +418,17 @@ def find_spans(docs: DataFrame, net: Network | None, column: str = "spans") -> D
 
 def redact(docs: DataFrame, net: Network | None) -> DataFrame:
     """``docs`` with each span's text replaced by its kind in brackets, where spans overlap by the first."""
-    found = find_spans(docs, net, "pii_spans")
+    own = "pii_spans"
+    while own in {name.lower() for name in docs.columns}:
+        own += "_"
+    found = find_spans(docs, net, own)
     pieces = (
-        "aggregate(array_sort(pii_spans, (a, b) -> a.start - b.start), named_struct('text', '', 'at', 0), (s, p) -> "
+        f"aggregate(array_sort({own}, (a, b) -> a.start - b.start), named_struct('text', '', 'at', 0), (s, p) -> "
         "CASE WHEN p.start < s.at THEN s ELSE named_struct('text', s.text || substr(text, s.at + 1, p.start - s.at) || '[' || p.kind || ']', 'at', p.end) END, "
         "s -> s.text || substr(text, s.at + 1))"
     )
-    fresh = F.when(F.size("pii_spans") == 0, F.col("text")).otherwise(F.expr(pieces))
-    return found.withColumn("text", F.when(F.col("pii_spans").isNotNull(), fresh)).drop("pii_spans")
+    fresh = F.when(F.size(own) == 0, F.col("text")).otherwise(F.expr(pieces))
+    return found.withColumn("text", F.when(F.col(own).isNotNull(), fresh)).drop(own)
 
 
 def op9_pii(spark, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 SLICE_BYTES = 4 << 20
 
@@ -132,3 +132,23 @@ def words(data: np.ndarray, offsets: np.ndarray, plain: bool = False) -> tuple[n
 def runs(of: np.ndarray, n: int) -> np.ndarray:
     """Where the entries of each number 0..n-1 begin in the sorted ``of``; n + 1 bounds."""
     return np.searchsorted(of, np.arange(n + 1))
+
+
+def lowest_hashes(rows: DataFrame, by: str, size: Column, enough: int) -> DataFrame:
+    """Of every group ``by``, distinct texts in order of a hash until their sizes reach ``enough``.
+
+    ``rows`` has the columns ``text`` and ``by``; added is ``draw``, the hash. A group that has less
+    gives all its texts. Hashes are counted by bands whose width grows with the hash, some 500 a
+    group at every table size; the last band taken adds about a tenth. Copies count once.
+    """
+    hashed = rows.withColumn("draw", F.expr("shiftrightunsigned(xxhash64(text), 2)"))
+    band = F.floor(8 * F.log2(F.col("draw") + F.lit(1.0))).cast("int")
+    sized = hashed.select(by, "draw", size.alias("size")).groupBy(by, "draw").agg(F.max("size").alias("size"))
+    bands = sized.groupBy(by, band.alias("band")).agg(F.sum("size").alias("size"))
+    before = F.sum("size").over(Window.partitionBy(by).orderBy("band").rowsBetween(Window.unboundedPreceding, -1))
+    needed = bands.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < enough)
+    last = {row[by]: row["band"] for row in needed.groupBy(by).agg(F.max("band").alias("band")).collect()}
+    if not last:
+        return hashed.limit(0)
+    pairs = [F.lit(x) for pair in last.items() for x in pair]
+    return hashed.where(band <= F.create_map(*pairs)[F.col(by)]).dropDuplicates([by, "draw"])
