@@ -9,7 +9,7 @@ from tidemark.plans import reports, scoring, training
 from tidemark.session import fresh_path
 from tidemark.settings import Settings
 from tidemark.sources import files, tables
-from tidemark.streaming import jobs
+from tidemark.streaming import jobs, ledger
 
 SETTINGS = Settings(test_size=0.2, val_size=0.2, max_rounds=4, patience=2, forest_trees=10, explain_rows=20)
 
@@ -125,6 +125,64 @@ def test_duplicates_are_dropped_across_micro_batches(spark):
     assert sorted(r[0] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
 
 
+def test_tagged_scores_equal_both_outcomes_in_one_scan(spark, merged, model):
+    source, root, progress = fresh_path(spark, "in"), fresh_path(spark, "out"), fresh_path(spark, "progress")
+    spoiled = merged.withColumn(S.AMOUNT, F.when(F.col(S.KEY) % 10 != 0, F.col(S.AMOUNT)).otherwise(-1.0))
+    spoiled.repartition(4).write.parquet(source)
+    stream = spark.readStream.schema(spoiled.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    jobs.finish(ledger.score_stream(stream, model.bundle, root, progress), 300)
+    tagged = ledger.tagged_scores(spark.read.parquet(source), model.bundle)
+    rows = ledger.Ledger(spark, root).read(tagged.schema)
+    scored, held = scoring.score_checked(spoiled, model.bundle)
+    got = rows.where(F.col(ledger.OUTCOME) == ledger.SCORED)
+    assert got.count() == 54 and got.select(scored.columns).exceptAll(scored).count() == 0
+    kept = rows.where(F.col(ledger.OUTCOME) == ledger.QUARANTINED)
+    assert kept.select(S.KEY, "errors").exceptAll(held.select(S.KEY, "errors")).count() == 0 and kept.count() == 6
+    assert kept.where("probability IS NOT NULL OR top_factors IS NOT NULL").count() == 0
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    # The other scans are the encoders' lookup tables.
+    assert plan.count("FileScan parquet [TransactionID") == 1 and "Exchange hashpartitioning" not in plan
+
+
+def test_ledger_reads_every_batch_once_and_whole(spark):
+    root = fresh_path(spark, "ledger")
+    book, rows = ledger.Ledger(spark, root), spark.range(3)
+    assert book.read(rows.schema).count() == 0
+    # A write that was lost half-way has no marker; the replay of its batch is the one that counts.
+    rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/batch={0:012d}-lost")
+    assert book.read(rows.schema).count() == 0
+    assert book.commit(0, rows) and not book.commit(0, spark.range(9)) and book.commit(1, spark.range(5))
+    assert sorted(tuple(r) for r in book.read(rows.schema).collect()) == [(i, 0) for i in range(3)] + [(i, 1) for i in range(5)]
+    assert book.read(rows.schema, below=1).count() == 3
+
+
+def test_late_rows_are_counted_by_window(spark):
+    source, root = fresh_path(spark, "in"), fresh_path(spark, "out")
+    week = S.SECONDS_PER_WEEK
+    shape = "TransactionID bigint, TransactionDT bigint, isFraud int"
+    batches = [
+        [(1, 10, 1), (2, week + 5, 0)], [(3, 4 * week, 1), (6, 11, None)], [(4, 20, 1), (5, 4 * week + 9, 0), (7, None, 1)], [(8, 30, 0)],
+    ]
+    for batch in batches:
+        spark.createDataFrame(batch, shape).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(shape).parquet(source)
+        jobs.finish(ledger.rate_stream(stream, root, source + "-progress"), 300)
+    got = ledger.rates(spark, root).select(jobs.week_of(F.col("start")), "rate", "n_rows", "n_late")
+    # Row 6 comes one second into the second week by the batch before: its window is still within a day.
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 1.0, 2, 2), (1, 0.0, 1, 0), (4, 0.5, 2, 0)]
+
+
+def test_removed_copies_are_counted_across_micro_batches(spark):
+    source, root = fresh_path(spark, "in"), fresh_path(spark, "out")
+    shape = "TransactionID bigint, TransactionDT bigint, TransactionAmt double"
+    for batch in ([(1, 10, 1.0), (1, 10, 1.0), (2, 11, 2.0)], [(1, 10, 1.0), (3, 12, 3.0)]):
+        spark.createDataFrame(batch, shape).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(shape).parquet(source)
+        jobs.finish(ledger.delivery_stream(stream, root, source + "-progress"), 300)
+    rows = ledger.first_copies(spark, root, ledger.deliveries(spark.read.parquet(source)).schema)
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, 10, 1.0, 2), (2, 11, 2.0, 0), (3, 12, 3.0, 0)]
+
+
 def test_file_job_runs_resumes_and_rescores(spark, transactions, identity, tmp_path):
     raw = tmp_path / "raw"
     transactions.coalesce(1).write.option("header", True).csv(str(raw / "tx.csv"))

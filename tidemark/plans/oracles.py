@@ -459,6 +459,16 @@ UNION ALL SELECT TransactionID, 3, 'other', round(all_terms - two, 6) + 0.0, NUL
     "stream_weekly_rate": f"WITH {TX} SELECT CAST(floor(TransactionDT / 604800) AS BIGINT) AS week, round(avg(isFraud), 6) AS rate, "
     "CAST(count(*) AS BIGINT) AS n_rows FROM tx GROUP BY 1",
     "stream_dedup": f"WITH {TX} SELECT TransactionID, TransactionDT, round(TransactionAmt, 6) AS TransactionAmt FROM tx",
+    "stream_outcomes": f"WITH {TX} SELECT TransactionID, CASE WHEN bad THEN 'quarantine' ELSE 'scored' END AS outcome, "
+    "CAST(NOT bad AS BIGINT) AS has_score, CASE WHEN bad THEN 'TransactionAmt' END AS broken FROM (SELECT TransactionID, "
+    "TransactionID % 10 = 0 OR TransactionAmt <= 0 OR TransactionAmt > 1000000 AS bad FROM tx)",
+    "stream_late_rows": f"WITH {TX}, arrivals AS (SELECT *, FALSE AS again FROM tx UNION ALL SELECT *, TRUE FROM tx WHERE TransactionID % 50 = 0), "
+    "judged AS (SELECT CAST(floor(TransactionDT / 604800) AS BIGINT) AS week, isFraud, "
+    "again AND (floor(TransactionDT / 604800) + 1) * 604800 <= (SELECT max(TransactionDT) FROM tx) - 86400 AS late FROM arrivals) "
+    "SELECT week, round(avg(isFraud) FILTER (NOT late), 6) AS rate, CAST(count(*) FILTER (NOT late) AS BIGINT) AS n_rows, "
+    "CAST(count(*) FILTER (late) AS BIGINT) AS n_late FROM judged GROUP BY week",
+    "stream_copies": f"WITH {TX} SELECT TransactionID, TransactionDT, round(TransactionAmt, 6) AS TransactionAmt, "
+    "CAST(CASE WHEN TransactionID % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_removed FROM tx",
     # flagship
     "risk_by_split": f"WITH {MERGED}{split_of('merged')}{ENCODING} SELECT split, CAST(count(*) AS BIGINT) AS n_rows, round(avg(isFraud), 6) AS rate, "
     "round(avg(coalesce(risk.rate, b.prior)), 6) AS mean_risk, round(avg(ln(1 + TransactionAmt)), 6) AS mean_amt_log, "

@@ -20,7 +20,7 @@ from tidemark.plans import scoring, training
 from tidemark.session import fresh_path, written
 from tidemark.settings import Settings
 from tidemark.sources import files, tables
-from tidemark.streaming import jobs
+from tidemark.streaming import jobs, ledger
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -929,6 +929,43 @@ def stream_dedup(spark, folder):
     return spark.read.parquet(out).select(S.KEY, S.TIME, S.AMOUNT)
 
 
+@query
+def stream_outcomes(spark, folder):
+    """Every tenth amount is spoiled: one tagged row per record, a score or broken fields."""
+    root = fresh_path(spark, "outcomes")
+    spoiled = F.when(F.col(S.KEY) % 10 == 0, -F.abs(S.AMOUNT)).otherwise(F.col(S.AMOUNT))
+    records = _event_stream(spark, folder).withColumn(S.AMOUNT, spoiled)
+    model = trained(spark, folder).bundle
+    jobs.finish(ledger.score_stream(records, model, root, fresh_path(spark, "progress")))
+    rows = ledger.Ledger(spark, root).read(ledger.tagged_scores(tx(spark, folder), model).schema)
+    return rows.select(
+        S.KEY, ledger.OUTCOME, F.col("probability").isNotNull().cast("int").alias("has_score"), F.array_join("errors", ",").alias("broken")
+    )
+
+
+@query
+def stream_late_rows(spark, folder):
+    """After all transactions every fiftieth arrives once more: in an open window it counts, else it is late."""
+    source, root, progress = (fresh_path(spark, name) for name in ("arrivals", "late", "progress"))
+    rows = tx(spark, folder).select(S.KEY, S.TIME, S.LABEL)
+    for arrival in (rows, rows.where(F.col(S.KEY) % 50 == 0)):
+        arrival.write.mode("append").parquet(source)
+        jobs.finish(ledger.rate_stream(spark.readStream.schema(rows.schema).parquet(source), root, progress))
+    counted = ledger.rates(spark, root)
+    return counted.select(jobs.week_of(F.col("start")).alias("week"), "rate", "n_rows", "n_late")
+
+
+@query
+def stream_copies(spark, folder):
+    """Every transaction is delivered twice, every third one three times."""
+    root = fresh_path(spark, "copies")
+    once = _event_stream(spark, folder)
+    again = _event_stream(spark, folder).where(F.col(S.KEY) % 3 == 0)
+    copies = once.unionByName(_event_stream(spark, folder)).unionByName(again)
+    jobs.finish(ledger.delivery_stream(copies, root, fresh_path(spark, "progress")))
+    return ledger.first_copies(spark, root, ledger.deliveries(tx(spark, folder)).schema)
+
+
 # ------------------------------------------------------------------------------- flagship
 
 

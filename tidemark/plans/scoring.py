@@ -20,18 +20,19 @@ def encode(df: DataFrame, bundle: Bundle, keep: Sequence[str] = (S.KEY,)) -> Dat
     return validate.align_features(encoded, bundle.features, final_encoder(bundle.pipeline).fill, keep)
 
 
-def score(df: DataFrame, bundle: Bundle, top: int = 3) -> DataFrame:
-    """``(key, probability, is_flagged, threshold, top_factors, version)`` per record.
+def score(df: DataFrame, bundle: Bundle, top: int = 3, carry: Sequence[str] = ()) -> DataFrame:
+    """``(key, probability, is_flagged, threshold, top_factors, version)`` per record, and the columns to carry.
 
     Nothing is shuffled: encodings are keyed lookups, and the trees and the forest
     travel as broadcast arrays.
     """
-    rows = encode(df, bundle)
+    rows = encode(df, bundle, (S.KEY, *carry))
     features = sql.double_array(bundle.features)
     chance, terms = bundle.columns(df.sparkSession)
-    computed = rows.select(S.KEY, features.alias("_values"), chance.alias("_p"), terms.alias("_terms"))
+    computed = rows.select(S.KEY, *carry, features.alias("_values"), chance.alias("_p"), terms.alias("_terms"))
     return computed.select(
         S.KEY,
+        *carry,
         F.round("_p", 6).alias("probability"),
         X.decide(F.col("_p"), bundle.threshold).alias("is_flagged"),
         F.lit(bundle.threshold).alias("threshold"),

@@ -16,7 +16,7 @@ SPLIT = "split"
 SCORE = "anomaly_score"
 
 # Columns that identify or describe a row and are never model inputs.
-PASSTHROUGH = (KEY, LABEL, SPLIT)
+PASSTHROUGH = (KEY, LABEL, SPLIT, "errors")
 
 REQUIRED_TRANSACTION = (KEY, TIME, LABEL)
 REQUIRED_IDENTITY = (KEY,)

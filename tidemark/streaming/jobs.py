@@ -40,16 +40,19 @@ def event_clock() -> Column:
     return F.timestamp_seconds(F.unix_timestamp(F.lit(EPOCH + "+00:00").cast("timestamp")) + F.col(S.TIME))
 
 
+# Windows are aligned to 1970-01-01, a Thursday; the clock starts on a Monday.
+WINDOW_START = "4 days"
+
+
 def windowed_rate(transactions: DataFrame, period: str = "7 days", late: str = "1 day") -> DataFrame:
     """Rate and volume per event-time window; rows later than ``late`` are dropped.
 
     Windows start where the transaction clock starts, so a seven-day window is a week
     index of the batch report. State holds one row per open window.
     """
-    # Windows are aligned to 1970-01-01, a Thursday; the clock starts on a Monday.
     stamped = transactions.withColumn("_at", event_clock()).withWatermark("_at", late)
     return (
-        stamped.groupBy(F.window("_at", period, startTime="4 days").alias("w"))
+        stamped.groupBy(F.window("_at", period, startTime=WINDOW_START).alias("w"))
         .agg(F.avg(F.col(S.LABEL).cast("double")).alias("rate"), F.count(S.LABEL).alias("n_rows"))
         .select(F.col("w.start").alias("start"), "rate", "n_rows")
     )
