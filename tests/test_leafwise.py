@@ -185,3 +185,23 @@ def test_halving_finds_what_the_full_search_finds(rows):
 
 def test_rungs():
     assert L.rungs(50, 300) == [11, 33, 100, 300] and L.rungs(1, 300) == [300] and L.rungs(9, 1) == [1]
+
+
+def test_gathered_sums_grow_the_trees_of_the_shuffled_ones(rows, monkeypatch):
+    params = L.LeafParams(leaves=8, max_depth=4, row_share=0.7, feature_share=0.7, max_bins=16)
+    gathered = L.start(part(rows, "train"), COLUMNS, params)
+    assert gathered._few_sums(len(COLUMNS))
+    monkeypatch.setattr(L.Booster, "_level", None)
+    few = gathered.advance(12).ensemble().nodes  # beyond the round that writes the scores
+    monkeypatch.undo()
+    monkeypatch.setattr(L, "GATHERED_BYTES", 0)
+    many = L.start(part(rows, "train"), COLUMNS, params).advance(12).ensemble().nodes
+    pd.testing.assert_frame_equal(few, many)
+
+
+def test_binned_rows_are_read_as_blocks(rows):
+    train = part(rows, "train")
+    booster = L.start(train, COLUMNS, L.LeafParams(leaves=4, max_depth=2))
+    assert booster.rows.count() <= booster.tasks * 4 < train.count()
+    got = booster.rows.selectExpr("sum(octet_length(bins))", "sum(octet_length(y)) / 8").first()
+    assert tuple(got) == (train.count() * len(COLUMNS), train.count())
