@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark import schema as S
-from tidemark.operators import boosting as B, contributions as C, isolation as I
+from tidemark.operators import boosting as B, contributions as C, curves as R, isolation as I
 from tidemark.session import fresh_path
 
 COLUMNS = ["a", "b", "c"]
@@ -299,3 +299,27 @@ def test_case_terms_keep_the_whole_sum(explained):
 def test_mean_abs(explained):
     got = {r["feature"]: r["mean_abs"] for r in C.mean_abs_contributions(explained, list("wxyz"), "terms").collect()}
     assert got == {"w": 0.25, "x": 0.45, "y": 0.05, "z": 0.0}
+
+
+def test_rounds_ranked_by_ranges_of_scores_equal_the_ladder(spark, rows, boosted, monkeypatch):
+    df, _ = rows
+    # A third of the rows are copies of one, so that scores are tied within ranges.
+    held = df.where("split = 'val'")
+    held = held.unionByName(held.limit(1).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(60)))).drop("_n"))
+    monkeypatch.setattr(B, "RANKED_ROWS", 20)
+    got = dict(B.staged_auroc(held, boosted, S.LABEL))
+    for n in (1, boosted.rounds):
+        scored = held.withColumn("s", B.log_odds_column(spark, boosted.first(n)))
+        assert got[n] == pytest.approx(R.ranking_metrics(scored, "s", S.LABEL).first()["auroc"], abs=1e-12)
+
+
+def test_terms_of_many_rows_are_those_of_each_row(boosted, rows, monkeypatch):
+    _, frame = rows
+    explainer, values = C.Explainer(boosted), frame[COLUMNS].to_numpy()
+    values = np.where(np.random.default_rng(3).random(values.shape) < 0.1, np.nan, values)
+    one_by_one = np.vstack([explainer.explain(values[i : i + 1]) for i in range(50)])
+    solved = []
+    terms = C._Leaf.terms
+    monkeypatch.setattr(C._Leaf, "terms", lambda leaf, holds: solved.append(len(holds)) or terms(leaf, holds))
+    assert np.allclose(explainer.explain(values)[:50], one_by_one, rtol=0, atol=1e-14)
+    assert max(solved) <= 1 << len(COLUMNS)  # combinations of conditions, not rows
