@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import re
 
 import numpy as np
 import pytest
@@ -190,3 +191,45 @@ def test_cuts_of_odd_rows(odd, none):
     assert repeats.cut_repeats(none).count() == 0
     kept = repeats.cut_repeats(odd, with_text=True).where("doc_id = 6").first()
     assert bytes(kept["kept"]).decode() == ODD[5][1]
+
+
+def shared(df):
+    return sorted(((r["doc_id"], r["n_shared_words"]) for r in repeats.cut_repeats(df).collect()), key=str)
+
+
+def brute_shared(rows, length=50):
+    split = [re.findall(r"[^ \t-\r]+", t or "") for _, t in rows]
+    seen = collections.Counter(w for ws in split for w in {tuple(ws[k : k + length]) for k in range(len(ws) - length + 1)})
+    out = []
+    for (i, _), ws in zip(rows, split):
+        covered = np.zeros(len(ws), bool)
+        for k in range(len(ws) - length + 1):
+            if seen[tuple(ws[k : k + length])] > 1:
+                covered[k : k + length] = True
+        out.append((i, int(covered.sum())))
+    return sorted(out, key=str)
+
+
+def test_shared_words_equal_brute_force(table, texts, odd, none):
+    assert shared(table) == brute_shared(list(texts.items()))
+    assert shared(odd) == brute_shared(ODD)
+    assert shared(none) == []
+
+
+def test_passages_below_the_length_are_told(spark):
+    """Passages of 49 to 120 short words of one text in others, alone, in copies, and inside one text only."""
+    draw = np.random.default_rng(6)
+    new = lambda n: ["".join(draw.choice(list("abcdefghij"), 4)) for _ in range(n)]
+    a, rows = new(900), []
+    for i, n in enumerate((49, 50, 51, 52, 55, 60, 75, 90, 120)):
+        k = int(draw.integers(0, 900 - n))
+        rows += [(i, " ".join(new(80) + a[k : k + n] + new(80))), (100 + i, " ".join(a[k + 1 : k + n]) + "\n")]
+    own, copied = new(70), " ".join(new(200))
+    rows += [(200, " ".join(a)), (201, " ".join(own + new(30) + own)), (202, copied), (203, copied), (204, " \n ".join(copied.split()[20:75] + new(90)))]
+    rows += [(205, "x y " * 60), (206, "x y " * 40 + " ".join(new(60))), (None, " ".join(new(90))), (207, " ".join(a[:51])), (207, " ".join(a[:51]))]
+    got = shared(documents(spark, rows))
+    assert got == brute_shared(rows)
+    told = dict(got)
+    assert [told[i] for i in (0, 1, 2, 5, 201, 204)] == [0, 50, 51, 60, 0, 55]
+    removed = {r["doc_id"]: r["n_removed"] for r in repeats.cut_repeats(documents(spark, rows)).collect()}
+    assert removed[5] == 0

@@ -11,6 +11,11 @@ goes with the ends of repeats and not with their length.
 The corpus order itself is never laid out: whether a suffix has a neighbour with ``LENGTH``
 equal bytes is decided by 128-bit hashes of the bytes, grouped by the cluster, instead of by
 sorting all suffixes of the corpus.
+
+Passages that stand in several rows are found alike, by words: of the short grams in a window of
+``PASSAGE`` words the one of least hash is its trigger, windows with one trigger are a block, and
+blocks whose whole is not repeated are cut into single windows. ``LENGTH`` bytes may be more than
+such a passage has, so this is told beside what is removed.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.text import mix, powers, slices, text_buffer
+from tidemark.llm.text import mix, powers, runs, slices, text_buffer, words
 from tidemark.session import written
 
 LENGTH = 400
@@ -30,6 +35,8 @@ WINDOW = 16  # bytes under the rolling hash
 # One trigger in so many places; windows without one go by finer triggers, then one by one.
 COARSE, FINE = 128, 16
 BLOCKS = (128, 16, 1)
+# Words of a passage, and of the grams of which one stands for it.
+PASSAGE, GRAM = 50, 16
 
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _draw = random.Random(7)
@@ -43,11 +50,14 @@ class Hashes:
     def __init__(self, data: np.ndarray, families: int):
         self.n = len(data)
         self.sums = []
-        for base, values in list(zip(_BASES, _VALUES))[:families]:
+        for family in range(families):
             total = np.zeros(self.n + 1, np.uint64)
-            np.cumsum(values[data] * powers(base, self.n), out=total[1:])
+            np.cumsum(self.values(data, family) * powers(_BASES[family], self.n), out=total[1:])
             self.sums.append(total)
 
+    def values(self, data: np.ndarray, family: int) -> np.ndarray:
+        return _VALUES[family][data]
+
     def of(self, start: np.ndarray, end: np.ndarray, tag: np.ndarray, family: int = 0) -> np.ndarray:
         total = self.sums[family]
         return mix((total[end] - total[start]) * powers(_INVERSES[family], self.n + 1)[start] + mix(tag.astype(np.uint64)))
@@ -59,6 +69,13 @@ class Hashes:
         return mix((total[WINDOW:] - total[:-WINDOW]) * powers(_INVERSES[0], self.n + 1)[: self.n - WINDOW + 1])
 
 
+class WordHashes(Hashes):
+    """Hashes of any range of words, from the words' own hashes."""
+
+    def values(self, data: np.ndarray, family: int) -> np.ndarray:
+        return mix(data + np.uint64(_BASES[family]))
+
+
 def _blocks_at(trigger, previous, low, high, size):
     """Blocks of window starts in [low, high] whose first trigger is given; the right edge of each
     lies a multiple of ``size`` before its trigger. Arrays of edge, first and last start, trigger number."""
@@ -208,8 +225,15 @@ def _refine(blocks: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return joined.mapInArrow(run, f"{_ROW}, core bigint, one bigint, two bigint, spare int")
 
 
-def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``rid, start, end`` of repeated strings, and the texts (``rid, text``) that can have any."""
+def _judged(rows: DataFrame, wholes: DataFrame) -> DataFrame:
+    """The rows with ``whole``, true if theirs is repeated, in place of its hashes; such rows lose their core."""
+    both = rows.join(wholes.select("one", "two", F.lit(True).alias("whole")), ["one", "two"], "left").drop("one", "two")
+    return written(both.withColumn("core", F.when(F.col("whole").isNull(), F.col("core"))), "judged")
+
+
+def repeated_spans(texts: DataFrame, also: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rid, start, end`` of repeated strings, and the texts (``rid, text``) that can have any
+    or whose ``rid`` is in ``also``."""
     cores = written(_scan(texts, False).groupBy("core").count().where("count > 1").select("core"), "cores")
     rows = _scan(texts, True).join(cores, "core", "left_semi").withColumn("spare", F.lit(0))
     held, spans = None, []
@@ -220,14 +244,14 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
             rows = rows.join(again, "core", "left_semi")
         rows = written(rows, "hits")
         if held is None:
-            ids = rows.select("rid").distinct()
+            ids = rows.select("rid").union(also).distinct()
             held = written(texts.join(ids, "rid", "left_semi"), "texts")
         block = F.struct("rid", "edge", "first", "last", "size", "kind")
         wholes = written(
             rows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n"), F.first("core").alias("core"), F.min(block).alias("block"))
             .where("n > 1"), "wholes",
         )
-        judged = written(rows.join(wholes.select("one", "two", F.lit(True).alias("whole")), ["one", "two"], "left"), "judged")
+        judged = _judged(rows, wholes)
         spans.append(judged.where("whole").selectExpr("rid", "first AS start", f"last + {LENGTH} AS end"))
         if size == 1:
             break
@@ -245,34 +269,161 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return found, held
 
 
+def passage_blocks(text: np.ndarray, hashes: WordHashes):
+    """Blocks of all windows of ``PASSAGE`` words: text number, first and last window, hash of the trigger."""
+    n = len(text)
+    if n < PASSAGE:
+        return *(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, np.uint64)
+    at = np.arange(n - GRAM + 1)
+    grams = hashes.of(at, at + GRAM, np.array([GRAM]))
+    # Half of the hash and the place, so that the first of equal grams stands for a window.
+    least = (grams & np.uint64(0xFFFFFFFF << 32)) | at.astype(np.uint64)
+    width, reach = 1, PASSAGE - GRAM + 1
+    while width < reach:
+        step = min(width, reach - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    start = np.flatnonzero(text[: n - PASSAGE + 1] == text[PASSAGE - 1 :])
+    trigger = (least[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    edge = np.ones(len(start) + 1, bool)
+    edge[1:-1] = trigger[1:] != trigger[:-1]
+    first, last = start[edge[:-1]], start[edge[1:]]
+    return text[first], first, last, grams[trigger[edge[:-1]]]
+
+
+def _fresh(*keys: np.ndarray) -> np.ndarray:
+    """Whether an entry is the first of its equals, by all keys."""
+    order = np.lexsort(keys)
+    out = np.ones(len(order), bool)
+    out[order[1:]] = np.logical_or.reduce([key[order[1:]] != key[order[:-1]] for key in keys])
+    return out
+
+
+def _scan_passages(texts: DataFrame, whole: bool) -> DataFrame:
+    """Blocks of all windows of words with their keys, ``n`` being 0 for further ones of a row with an
+    equal whole; without ``whole`` only the cores, once a row."""
+
+    def run(batches):
+        for part in slices(batches):
+            text, _, _, values = words(*text_buffer(part.column(1)))
+            hashes = WordHashes(values, 2 if whole else 1)
+            text_of, first, last, core = passage_blocks(text, hashes)
+            if not whole:
+                yield pa.RecordBatch.from_arrays([pa.array(core[_fresh(core, text_of)].view(np.int64))], names=["core"])
+                continue
+            end = last + PASSAGE
+            one, two = (hashes.of(first, end, end - first, family) for family in (0, 1))
+            begin = runs(text, part.num_rows)[text_of]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(part.column(0).to_numpy()[text_of]), pa.array((first - begin).astype(np.int32)), pa.array((last - begin).astype(np.int32)),
+                    pa.array(_fresh(two, one, text_of).astype(np.int32)), *(pa.array(x.view(np.int64)) for x in (core, one, two)),
+                ],
+                names=["rid", "first", "last", "n", "core", "one", "two"],
+            )
+
+    return texts.mapInArrow(run, "rid bigint, first int, last int, n int, core bigint, one bigint, two bigint" if whole else "core bigint")
+
+
+def _windows(blocks: DataFrame, texts: DataFrame) -> DataFrame:
+    """The blocks cut into single windows with their keys. ``n`` is the number of rows that a window
+    stands for: 2 in a spare block, which is repeated, and 0 for further equal ones of a row."""
+    listed = blocks.groupBy("rid").agg(F.collect_set(F.struct("first", "last", "spare")).alias("blocks"))
+
+    def run(batches):
+        for part in slices(batches):
+            text, _, _, values = words(*text_buffer(part.column(1)))
+            hashes = WordHashes(values, 2)
+            lists = part.column(2)
+            rows = lists.flatten()
+            of = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
+            first, last, spare = (rows.field(i).to_numpy().astype(np.int64) for i in range(3))
+            size = last - first + 1
+            start = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
+            of, spare = np.repeat(of, size), np.repeat(spare, size)
+            at = start + runs(text, part.num_rows)[of]
+            one, two = (hashes.of(at, at + PASSAGE, np.array([PASSAGE]), family) for family in (0, 1))
+            n = _fresh(two, one, spare, of) * (1 + spare)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part.column(0).to_numpy()[of]), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(spare.astype(np.int32)),
+                 *(pa.array(x.view(np.int64)) for x in (one, two))],
+                names=["rid", "start", "n", "spare", "one", "two"],
+            )
+
+    joined = texts.join(listed, "rid").select("rid", "text", "blocks")
+    return joined.mapInArrow(run, "rid bigint, start int, n int, spare int, one bigint, two bigint")
+
+
+def judged_passages(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rid, start, end`` (in words) of blocks of passages that stand in several rows, and the blocks
+    (``rid, first, last, spare``) whose windows have to be compared one by one."""
+    cores = written(_scan_passages(texts, False).groupBy("core").count().where("count > 1").select("core"), "cores")
+    rows = written(_scan_passages(texts, True).join(cores, "core", "left_semi"), "hits")
+    block = F.struct("rid", "first", "last")
+    wholes = written(
+        rows.groupBy("one", "two").agg(F.sum("n").alias("n"), F.first("core").alias("core"), F.min(block).alias("block")).where("n > 1"), "wholes"
+    )
+    judged = _judged(rows.drop("n"), wholes)
+    undecided = judged.where("whole IS NULL")
+    # As above: one block of each decided whole stands for all.
+    near = written(undecided.select("core").distinct(), "undecided-cores")
+    spare = wholes.join(near, "core", "left_semi").select("block.*", F.lit(1).alias("spare"))
+    blocks = undecided.select("rid", "first", "last", F.lit(0).alias("spare")).union(spare)
+    return judged.where("whole").selectExpr("rid", "first AS start", f"last + {PASSAGE} AS end"), blocks
+
+
+def shared_words(spans: DataFrame, blocks: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rid, n_shared_words``: words in passages that stand in several rows; ``texts`` has those of the blocks."""
+    windows = written(_windows(blocks, texts), "windows")
+    found = windows.groupBy("one", "two").agg(F.sum("n").alias("n")).where("n > 1").select("one", "two")
+    single = windows.where("spare = 0").join(found, ["one", "two"], "left_semi").selectExpr("rid", "start", f"start + {PASSAGE} AS end")
+    # Of spans in order, each adds what lies behind all before it.
+    return spans.union(single).groupBy("rid").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")).selectExpr(
+        "rid",
+        """aggregate(spans, named_struct('n', 0L, 'stop', 0), (a, x) -> named_struct(
+            'n', a.n + greatest(x.end - greatest(x.start, a.stop), 0), 'stop', greatest(x.end, a.stop)), a -> a.n) AS n_shared_words""",
+    )
+
+
 def cut_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """Sizes, spans and the hash of what is left of every text, by row.
 
-    Returns ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked for, ``kept`` (the
-    bytes). Null and empty texts have no bytes. Rows that repeat each other repeat each other's
-    strings: from ``LENGTH`` bytes on all of them are removed whole. Rows without ``doc_id`` are
-    treated like any others, extra columns ignored; an empty table gives no rows. Rows are told
-    apart by a 64-bit hash of id and text.
+    Returns ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared_words`` and, if asked for,
+    ``kept`` (the bytes). ``n_shared_words`` counts the words in passages of ``PASSAGE`` words or more that
+    stand in another row too, with any white space between the words; they are told, not removed, where
+    they have no ``LENGTH`` repeated bytes. Null and empty texts have no bytes. Rows that repeat
+    each other repeat each other's strings: from ``LENGTH`` bytes on all of them are removed whole.
+    Rows without ``doc_id`` are treated like any others, extra columns ignored; an empty table gives
+    no rows. Rows are told apart by a 64-bit hash of id and text.
     """
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("rid", F.xxhash64("doc_id", "text"))
-    found, held = repeated_spans(keyed.select("rid", "text"))
+    texts = keyed.select("rid", "text")
+    passages, blocks = judged_passages(texts)
+    found, held = repeated_spans(texts, blocks.select("rid"))
+    shared = written(shared_words(passages, blocks, held), "shared")
     spans = found.groupBy("rid").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
     def run(batches):
         for batch in batches:
-            removed, counts, digests, rest = [], [], [], []
-            for text, pairs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            if not batch.num_rows:
+                continue
+            # Runs of all rows at once; rows are told apart by the upper bits of a place.
+            lists = batch.column(2)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            start, end = (lists.flatten().field(i).to_numpy().astype(np.int64) + (row << 32) for i in (0, 1))
+            stop = np.maximum.accumulate(end)
+            edge = np.ones(len(row) + 1, bool)
+            edge[1:-1] = start[1:] > stop[:-1]
+            low = (1 << 32) - 1
+            starts, stops = (start[edge[:-1]] & low).tolist(), (stop[edge[1:]] & low).tolist()
+            counts = np.bincount(row[edge[:-1]], minlength=batch.num_rows)
+            removed, digests, rest, at = [], [], [], 0
+            for text, n in zip(batch.column(1).to_pylist(), counts.tolist()):
                 raw = text.encode()
-                pieces, n, stop = [], 0, 0
-                for pair in pairs:
-                    if not n or pair["start"] > stop:
-                        pieces.append(raw[stop : pair["start"]])
-                        n += 1
-                    stop = max(stop, pair["end"])
-                pieces.append(raw[stop:])
-                kept = b"".join(pieces)
+                bounds = zip([0, *stops[at : at + n]], [*starts[at : at + n], len(raw)])
+                kept = b"".join([raw[a:b] for a, b in bounds])
+                at += n
                 removed.append(len(raw) - len(kept))
-                counts.append(n)
                 digests.append(hashlib.sha256(kept).hexdigest())
                 rest.append(kept if with_text else None)
             yield pa.RecordBatch.from_arrays(
@@ -287,10 +438,11 @@ def cut_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     columns = ["doc_id", "rid", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("full")]
     if with_text:
         columns.append(F.col("text").cast("binary").alias("raw"))
-    joined = keyed.select(*columns).join(cut, "rid", "left")
+    joined = keyed.select(*columns).join(cut, "rid", "left").join(shared, "rid", "left")
     out = [
         "doc_id", "n_bytes", F.coalesce("removed", F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce("spans", F.lit(0)).cast("bigint").alias("n_spans"), F.coalesce("digest", "full").alias("kept_sha256"),
+        F.coalesce("n_shared_words", F.lit(0)).cast("bigint").alias("n_shared_words"),
     ]
     if with_text:
         out.append(F.when(F.col("digest").isNull(), F.col("raw")).otherwise(F.col("rest")).alias("kept"))
