@@ -205,3 +205,61 @@ def test_binned_rows_are_read_as_blocks(rows):
     assert booster.rows.count() <= booster.tasks * 4 < train.count()
     got = booster.rows.selectExpr("sum(octet_length(bins))", "sum(octet_length(y)) / 8").first()
     assert tuple(got) == (train.count() * len(COLUMNS), train.count())
+
+
+@pytest.mark.parametrize("depth, leaves", [(4, 15), (9, 150)])
+def test_rows_find_their_nodes_by_conditions_and_by_look_ups(depth, leaves):
+    rng = np.random.default_rng(5)
+    nodes = [L._Node(0)]
+    for i, x in enumerate(nodes):
+        if x.depth < depth and len(nodes) < 2 * leaves - 1 and (not i or rng.random() < 0.9):
+            x.feature, x.bin, x.missing, x.left, x.right = int(rng.integers(3)), int(rng.integers(1, 60)), bool(rng.random() < 0.5), len(nodes), len(nodes) + 1
+            nodes += [L._Node(x.depth + 1), L._Node(x.depth + 1)]
+    bins = rng.integers(0, 62, (3, 500)).astype(np.uint8)
+    tree = L._Arrays(nodes)
+    assert (tree.steps is None) == (depth == 9)
+
+    def node_of(row):
+        at = 0
+        while nodes[at].left >= 0:
+            x = nodes[at]
+            code = row[x.feature]
+            at = x.left if (x.missing if code == L.MISSING else code <= x.bin) else x.right
+        return at
+
+    assert tree.nodes_of(bins).tolist() == [node_of(row) for row in bins.T]
+
+
+def test_rounds_read_rows_that_the_executors_keep(rows, monkeypatch):
+    spark = rows[0].sparkSession
+    params = L.LeafParams(leaves=4, max_depth=2)
+    booster = L.start(part(rows, "train"), COLUMNS, params)
+    assert booster.few
+    kept = spark.sparkContext._jsc.getPersistentRDDs()
+    assert booster.kept.is_cached and kept.containsKey(booster.kept.id())
+    # No table is scanned or written for a level; after ten rounds the scores are a checkpoint.
+    monkeypatch.setattr(L, "written", None)
+    monkeypatch.setattr(type(booster.rows), "mapInArrow", None)
+    first = booster.kept.id()
+    booster.advance(L.ROUNDS_PER_TABLE)
+    assert booster.kept.isCheckpointed() and not booster.recent
+    assert not spark.sparkContext._jsc.getPersistentRDDs().containsKey(first)
+    booster.release()
+    assert booster.advance(1).rounds == L.ROUNDS_PER_TABLE + 1
+
+
+def test_held_rows_are_ranked_as_their_values(rows, monkeypatch):
+    held = part(rows, "val").withColumn(S.LABEL, F.when(F.col(S.KEY) % 7 != 0, F.col(S.LABEL)))
+    # A third of the rows are copies of one, so that scores are tied.
+    held = held.unionByName(held.where(S.LABEL + " = 1").limit(1).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(200)))).drop("_n"))
+    booster = L.start(part(rows, "train"), COLUMNS, L.LeafParams(leaves=6, max_depth=3))
+    booster.advance(7)
+    want = B.staged_auroc(held, booster.ensemble(), S.LABEL)
+    for rows_of_range, rounds in ((B.RANKED_ROWS, 25), (50, 3)):
+        monkeypatch.setattr(B, "RANKED_ROWS", rows_of_range)
+        monkeypatch.setattr(L, "STAGES_PER_JOB", rounds)
+        monkeypatch.setattr(L, "SORTED_ROWS", 100)
+        ranked = L.Held(held, booster)
+        got = ranked.auroc(booster.fresh[:4]) + ranked.auroc(booster.fresh[4:])
+        assert [number for number, _ in got] == list(range(1, 8))
+        assert [v for _, v in got] == pytest.approx([v for _, v in want], abs=1e-12)
