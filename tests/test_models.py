@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -323,3 +324,72 @@ def test_terms_of_many_rows_are_those_of_each_row(boosted, rows, monkeypatch):
     monkeypatch.setattr(C._Leaf, "terms", lambda leaf, holds: solved.append(len(holds)) or terms(leaf, holds))
     assert np.allclose(explainer.explain(values)[:50], one_by_one, rtol=0, atol=1e-14)
     assert max(solved) <= 1 << len(COLUMNS)  # combinations of conditions, not rows
+
+
+@pytest.mark.parametrize("limit", [I.WHOLE_DEPTH, 0])
+def test_whole_levels_give_the_paths_of_single_steps(limit, monkeypatch):
+    rng = np.random.default_rng(11)
+    nodes = pd.concat([I.grow_tree(rng.normal(size=(size, 3)).round(1), t, 4) for t, size in enumerate((1, 2, 40, 256))])
+    monkeypatch.setattr(I, "WHOLE_DEPTH", limit)
+    forest = I._Forest(nodes, 256)
+    values = rng.normal(size=(60, 3))
+    values[rng.random(values.shape) < 0.2] = np.nan
+    wanted = []
+    for row in values:
+        total = 0.0
+        for _, tree in nodes.groupby("tree"):
+            node = tree.iloc[0]
+            while node.feature >= 0:
+                node = tree.iloc[int(node.left if row[int(node.feature)] <= node.threshold else node.right)]
+            total += node.depth + float(I.average_path(node["size"]))
+        wanted.append(2.0 ** (-total / 4 / float(I.average_path(256))))
+    assert (forest.whole[-1] is None) == (limit == 0)
+    assert forest.isolation(values) == pytest.approx(wanted, abs=1e-12)
+
+
+def test_tables_of_terms_equal_the_leaves_one_by_one():
+    rng = np.random.default_rng(12)
+    rows = []
+
+    def grow(tree, depth, cover):
+        at = len(rows)
+        rows.append([tree, at - start, -1, 0.0, -1, -1, float(rng.normal()), cover, 0.0, 0])
+        if depth and cover > 2 and rng.random() < 0.95:
+            left = max(1.0, round(cover * rng.uniform(0.2, 0.8)))
+            rows[at][2:4] = [int(rng.integers(4)), float(rng.normal())]
+            rows[at][9] = int(rng.integers(2))
+            rows[at][4] = grow(tree, depth - 1, left)
+            rows[at][5] = grow(tree, depth - 1, cover - left)
+        return at - start
+
+    for tree, depth in enumerate((0, 2, 4, 11)):
+        start = len(rows)
+        grow(tree, depth, 400.0)
+    names = "tree node feature threshold left right value cover gain missing".split()
+    explainer = C.Explainer(B.Ensemble(list("abcd"), pd.DataFrame(rows, columns=names), 4))
+    values = rng.normal(size=(400, 4))
+    values[rng.random(values.shape) < 0.2] = np.nan
+    assert any(len(nodes) > C.TABLE_BITS for nodes, _ in explainer.parts)
+    terms = np.zeros((4, 400))
+    for leaf in explainer.leaves:
+        leaf.add_terms(values.T, np.isnan(values.T), terms)
+    assert explainer.tables is None
+    assert np.allclose(explainer.explain(values), terms.T, rtol=0, atol=1e-12) and explainer.tables
+    scores = B.TreeArrays(pd.DataFrame(rows, columns=names)).tree_terms(values).sum(axis=1)
+    assert np.allclose(explainer.explain(values).sum(axis=1) + explainer.expected, scores, rtol=0, atol=1e-9)
+
+
+def test_largest_places_follow_size_then_order():
+    nan = float("nan")
+    rows = [[0.1, -0.5, 0.5, 0.0], [nan, 0.0, -0.0, nan], [-3.0, 2.0, 3.0, float("-inf")]]
+    for more in ([], [[None, 1.0, nan, None], None, [], [2.0]]):
+        got = C.largest_places(pa.array(rows + more, pa.list_(pa.float64())), 3).to_pylist()
+        assert got[:3] == [[1, 2, 0], [1, 2, 0], [3, 0, 2]]
+        assert got[3:] == ([[0, 3, 1], None, [], [0]] if more else [])
+
+
+def test_log_odds_and_terms_are_worked_out_in_one_pass(spark, rows, boosted):
+    df, _ = rows
+    terms, _ = C.contributions_column(spark, boosted)
+    plan = df.select(B.log_odds_column(spark, boosted), terms)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1
